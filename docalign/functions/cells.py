@@ -45,10 +45,23 @@ def names(cells: Column) -> Column:
     return cells["field"]
 
 
-def cell_of(cells: Column, field: Column, fields: Column | None = None) -> Column:
+def cell_of(cells: Column, field: str) -> Column:
     """The cell of ``field``, null when it is absent."""
-    fields = names(cells) if fields is None else fields
-    return F.get(cells, F.array_position(fields, field).cast("int") - 1)
+    return F.get(cells, F.array_position(names(cells), F.lit(field)).cast("int") - 1)
+
+
+def by_name(cells: Column) -> Column:
+    """The cells as a map, for lookups inside lambdas."""
+    return F.map_from_arrays(names(cells), cells)
+
+
+def is_true(cell: Column) -> Column:
+    """Whether a value counts as true: not absent, null, false, zero or empty."""
+    full_text = (cell["kind"] == "string") & (cell["text"] != "")
+    other = ~cell["kind"].isin("string", "null") & ~cell["text"].isin(
+        "false", "0", "0.0", "-0.0", "[]", "{}"
+    )
+    return F.coalesce(full_text | other, F.lit(False))
 
 
 # --- values on the driver -------------------------------------------------
@@ -201,10 +214,17 @@ def parse_values(text: Column) -> Column:
 # --- writing ----------------------------------------------------------------
 
 
+def escaped(text: Column) -> Column:
+    """The inside of a JSON string literal; only rare texts need the escape."""
+    inside = F.to_json(F.array(text))
+    return F.when(
+        text.rlike(r'["\\\x00-\x1f]'), F.substring(inside, F.lit(3), F.length(inside) - 4)
+    ).otherwise(text)
+
+
 def json_string(text: Column) -> Column:
     """A JSON string literal; characters outside ASCII stay as they are."""
-    inside_array = F.to_json(F.array(text))
-    return F.substring(inside_array, F.lit(2), F.length(inside_array) - 2)
+    return F.concat(F.lit('"'), escaped(text), F.lit('"'))
 
 
 def json_value(kind: Column, text: Column) -> Column:
@@ -216,13 +236,43 @@ def json_value(kind: Column, text: Column) -> Column:
     )
 
 
+def json_member(name: Column, value: Column) -> Column:
+    """Pieces of an object member; ``value`` has ``kind`` and ``text``.
+
+    Rendering collects pieces in arrays and joins them once: inside a lambda
+    that is far cheaper than building up strings.
+    """
+    start = [F.lit(',"'), escaped(name), F.lit('"')]
+    return (
+        F.when(value["kind"] == "string", F.array(*start, F.lit(':"'), escaped(value["text"]), F.lit('"')))
+        .when(value["kind"] == "null", F.array(*start, F.lit(":null")))
+        .otherwise(F.array(*start, F.lit(":"), value["text"]))
+    )
+
+
+def json_item(value: Column) -> Column:
+    """Pieces of an array item."""
+    return (
+        F.when(value["kind"] == "string", F.array(F.lit(',"'), escaped(value["text"]), F.lit('"')))
+        .when(value["kind"] == "null", F.array(F.lit(",null")))
+        .otherwise(F.array(F.lit(","), value["text"]))
+    )
+
+
+def enclosed(items: Column, left: str, right: str) -> Column:
+    """Join arrays of pieces, each of which starts with a comma."""
+    joined = F.array_join(F.flatten(items), "")
+    return F.concat(F.lit(left), F.substring(joined, 2, 2**31 - 1), F.lit(right))
+
+
 def json_object(cells: Column) -> Column:
     """Cells as JSON object text, in their order."""
-    members = F.transform(
-        cells,
-        lambda c: F.concat(json_string(c["field"]), F.lit(":"), json_value(c["kind"], c["text"])),
-    )
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+    return enclosed(F.transform(cells, lambda c: json_member(c["field"], c)), "{", "}")
+
+
+def json_array(values: Column) -> Column:
+    """Values (``kind``, ``text``) as JSON array text."""
+    return enclosed(F.transform(values, json_item), "[", "]")
 
 
 def _nested_text(text: Column) -> Column:
@@ -255,7 +305,7 @@ def _nested_text(text: Column) -> Column:
 def python_text(kind: Column, text: Column) -> Column:
     """``str(value)`` as a lookup key; null for JSON null."""
     return (
-        F.when(kind == "boolean", F.initcap(text))
+        F.when(kind == "boolean", F.when(text == "true", F.lit("True")).otherwise(F.lit("False")))
         .when(kind.isin("array", "object"), _nested_text(text))
         .otherwise(text)
     )

@@ -1,54 +1,65 @@
 """Constant lookup tables inside expressions.
 
-A small config table becomes one array literal of small maps, addressed by a
-hash of the key. Catalyst folds it to a constant, so a lookup costs one hash
-and one short scan, with neither a join nor a shuffle.
+A small config table becomes an array literal of small maps, addressed by a hash
+of the key; several keys nest. Catalyst folds it to a constant, so a lookup
+costs a hash and a short scan per key, with neither a join nor a shuffle.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def text_key(*parts: str | None) -> str:
-    """One key from several; lengths in front keep it unambiguous."""
-    texts = [p or "" for p in parts]
-    return ":".join([str(len(t)) for t in texts[:-1]] + ["".join(texts)])
+def constant_lookup(
+    entries: Iterable[tuple[Sequence[str], Any]], value_type: str
+) -> Callable[..., Column]:
+    """Function from key columns to the value of these keys, null if unknown.
 
+    All entries have the same number of keys. Of equal keys the last one counts.
+    """
+    flat = {tuple(keys): value for keys, value in entries}
+    if not flat:
+        return lambda *keys: F.lit(None).cast(value_type)
+    depth = len(next(iter(flat)))
+    tree: dict[str, Any] = {}
+    for keys, value in flat.items():
+        node = tree
+        for key in keys[:-1]:
+            node = node.setdefault(key, {})
+        node[keys[-1]] = value
+    column_type = value_type
+    for _ in range(depth):
+        column_type = f"array<map<string,{column_type}>>"
+    table = F.from_json(F.lit(json.dumps(_bucketed(tree, depth), ensure_ascii=False)), column_type)
 
-def column_key(*parts: Column) -> Column:
-    """``text_key`` as an expression. Null in the last part gives null."""
-    if len(parts) == 1:
-        return parts[0]
-    lengths = [F.concat(F.length(p).cast("string"), F.lit(":")) for p in parts[:-1]]
-    return F.concat(*lengths, *parts)
+    def find(*keys: Column) -> Column:
+        found = table
+        for key in keys:
+            found = F.try_element_at(F.get(found, _slot(key, F.size(found))), key)
+        return found
+
+    return find
 
 
-def constant_lookup(entries: Mapping[str, Any], value_type: str) -> Callable[[Column], Column]:
-    """Function from a key column to the value of that key, null if unknown."""
-    if not entries:
-        return lambda key: F.lit(None).cast(value_type)
+def _bucketed(node: dict[str, Any], depth: int) -> list[dict[str, Any]]:
     size = 1
-    while size < len(entries):
+    while size < len(node):
         size *= 2
     buckets: list[dict[str, Any]] = [{} for _ in range(size)]
-    for key, value in entries.items():
-        buckets[zlib.crc32(key.encode()) % size][key] = value
-    table = F.from_json(
-        F.lit(json.dumps(buckets, ensure_ascii=False)), f"array<map<string,{value_type}>>"
-    )
+    for key, value in node.items():
+        below = value if depth == 1 else _bucketed(value, depth - 1)
+        buckets[zlib.crc32(key.encode()) % size][key] = below
+    return buckets
 
-    def find(key: Column) -> Column:
-        slot = F.pmod(F.crc32(key.cast("binary")), F.lit(size)).cast("int")
-        return F.try_element_at(F.get(table, slot), key)
 
-    return find
+def _slot(key: Column, size: Column) -> Column:
+    return F.pmod(F.crc32(key.cast("binary")), size).cast("int")
 
 
 def constant_array(items: list[Any], item_type: str) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docalign.functions.cells import value_of
-from docalign.functions.lookup import column_key, constant_lookup, text_key
+from docalign.functions.lookup import constant_lookup
 
 # Largest config table that is folded into the plan as a constant.
 CONSTANT_ROWS = 100_000
@@ -64,10 +64,9 @@ def scoped_lookup(
 ) -> Callable[..., Column]:
     """Constant lookup of ``(profile, keys, value)`` entries by key columns."""
     if not profiles:
-        find = constant_lookup({text_key(*k): v for _, k, v in entries}, value_type)
-        return lambda *keys: find(column_key(*keys))
-    find = constant_lookup({text_key(p, *k): v for p, k, v in entries}, value_type)
-    return lambda *keys: find(column_key(scope(profiles), *keys))
+        return constant_lookup(((k, v) for _, k, v in entries), value_type)
+    find = constant_lookup((((p or "", *k), v) for p, k, v in entries), value_type)
+    return lambda *keys: find(scope(profiles), *keys)
 
 
 def field_map(names: Mapping[str, str | None], profile: str | None = None) -> Rows:

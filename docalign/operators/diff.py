@@ -20,18 +20,16 @@ def diff_documents(
     ``replace`` on whole fields; ``kind`` and ``text`` are null for ``remove``.
     """
     context = F.struct(
-        F.col(old).alias("old"),
         F.col(new).alias("new"),
-        C.names(F.col(old)).alias("old_names"),
-        C.names(F.col(new)).alias("new_names"),
+        C.by_name(F.col(old)).alias("old_by_name"),
+        F.array_except(C.names(F.col(old)), C.names(F.col(new))).alias("gone"),
     )
 
     def operations(x: Column) -> Column:
-        gone = F.array_except(x["old_names"], x["new_names"])
-        removed = F.transform(gone, lambda n: _operation(F.lit("remove"), n))
+        removed = F.transform(x["gone"], lambda n: _operation(F.lit("remove"), n))
 
         def change(c: Column) -> Column:
-            before = C.cell_of(x["old"], c["field"], x["old_names"])
+            before = F.try_element_at(x["old_by_name"], c["field"])
             return F.when(
                 before.isNull(), _operation(F.lit("add"), c["field"], c["kind"], c["text"])
             ).when(before != c, _operation(F.lit("replace"), c["field"], c["kind"], c["text"]))
@@ -44,7 +42,9 @@ def diff_documents(
 
 
 def _operation(op: Column, field: Column, kind: Column | None = None, text: Column | None = None) -> Column:
-    escaped = F.replace(F.replace(field, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+    escaped = F.when(
+        field.rlike("[~/]"), F.replace(F.replace(field, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+    ).otherwise(field)
     none = F.lit(None).cast("string")
     return F.struct(
         op.alias("op"),

@@ -124,29 +124,27 @@ def _keyed(cells: Column, targets: Column) -> Column:
     )
 
 
-def _firsts(x: Column) -> Column:
-    return F.filter(x["all"], lambda k, i: F.array_position(x["keys"], k["key"]) == i + 1)
-
-
-def _with_keys(keyed: Column) -> Column:
-    return F.struct(keyed.alias("all"), keyed["key"].alias("keys"), keyed["cell"]["field"].alias("fields"))
+def _by_key(keyed: Column, choose) -> Column:
+    """One entry per name, for bodies in which names meet."""
+    return C.let(
+        keyed,
+        lambda all_: F.transform(
+            F.array_distinct(all_["key"]),
+            lambda key: choose(F.filter(all_, lambda k: k["key"] == key)),
+        ),
+    )
 
 
 def _resolved(keyed: Column) -> Column:
-    """One entry per name, for bodies in which names meet."""
-    def owner(x: Column, key: Column) -> Column:
-        # Field names are unique, so at most one cell keeps the name unmapped.
-        same = F.get(x["all"], F.array_position(x["fields"], key).cast("int") - 1)
-        return F.when(~same["mapped"], same)
-
-    return C.let(
-        _with_keys(keyed),
-        lambda x: F.transform(_firsts(x), lambda k: F.coalesce(owner(x, k["key"]), k)),
+    # Field names are unique, so at most one entry keeps its name unmapped.
+    return _by_key(
+        keyed,
+        lambda same: F.coalesce(
+            F.get(F.filter(same, lambda k: ~k["mapped"]), F.lit(0)), F.get(same, F.lit(0))
+        ),
     )
 
 
 def _first_moves(keyed: Column) -> Column:
-    return C.let(
-        _with_keys(keyed),
-        lambda x: F.filter(_firsts(x), lambda k: k["mapped"] & (k["cell"]["field"] != k["key"])),
-    )
+    firsts = _by_key(keyed, lambda same: F.get(same, F.lit(0)))
+    return F.filter(firsts, lambda k: k["mapped"] & (k["cell"]["field"] != k["key"]))

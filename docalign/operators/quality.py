@@ -60,8 +60,8 @@ def find_nonpermissible(
         return (
             (c["kind"] != "null")
             & limited(c["field"])
-            & ~member(c["field"], F.concat(F.lit("="), _text(c)))
-            & ~member(c["field"], F.concat(c["kind"], F.lit("="), c["text"]))
+            & ~member(c["field"], F.lit(""), _text(c))
+            & ~member(c["field"], c["kind"], c["text"])
         )
 
     found = F.transform(F.filter(F.col(body), wrong), lambda c: _issue(c["field"], _text(c)))
@@ -81,8 +81,7 @@ def find_missing_required(
         ((p, ("",), names) for p, names in required.items()), "array<string>", profiles_of(facets)
     )
     context = F.struct(
-        F.col(body).alias("cells"),
-        C.names(F.col(body)).alias("names"),
+        C.by_name(F.col(body)).alias("by_name"),
         F.coalesce(find(F.lit("")), F.array().cast("array<string>")).alias("required"),
     )
 
@@ -96,7 +95,7 @@ def find_missing_required(
         )
 
     def one(x: Column, field: Column) -> Column:
-        mark = marker(C.cell_of(x["cells"], field, x["names"]))
+        mark = marker(F.try_element_at(x["by_name"], field))
         return F.when(mark.isNotNull(), _issue(field, mark))
 
     found = C.let(

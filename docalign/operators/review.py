@@ -41,7 +41,7 @@ def review_rows(
         columns.append(F.col("value").alias("current_value"))
     columns.append(F.lit("").alias("new_value"))
     if issue_type == REGEX:
-        hint = constant_lookup(dict(hints or {}), "string")
+        hint = constant_lookup((((k,), v) for k, v in (hints or {}).items()), "string")
         columns.append(F.coalesce(hint(F.col("field")), F.lit("")).alias("expected_input_hint"))
     columns.append(F.concat(F.lit(base_url), F.col("record_id")).alias("dataset_url"))
     listed = rows.select(*columns)

@@ -21,6 +21,7 @@ from docalign.functions.rows import unfold
 from docalign.operators.config import Config, Rows, all_rows
 
 MUST, SHOULD = "__must__", "__should__"
+ASSIGNMENT = "struct<rule_no:int,field:string,kind:string,text:string>"
 
 
 def ordered_rules(rules: Config) -> Rows:
@@ -98,17 +99,21 @@ def apply_rules(
     """
     compiled = ordered_rules(rules)
     if not compiled:
-        return documents.withColumn(into, F.col(body)).withColumn(log, _no_assignments())
-    fired = _fired(compiled, F.col(body))
-    assignments = constant_array(
-        [
-            [{"rule_no": r["rule_no"], "field": f, **C.value_of(v)} for f, v in r["then"].items()]
-            for r in compiled
-        ],
-        "array<struct<rule_no:int,field:string,kind:string,text:string>>",
+        return documents.withColumn(into, F.col(body)).withColumn(log, constant_array([], ASSIGNMENT))
+    # Conditions outside of lambdas are compiled; the literals are shared.
+    made = [
+        F.when(
+            holds,
+            constant_array(
+                [{"rule_no": r["rule_no"], "field": f, **C.value_of(v)} for f, v in r["then"].items()],
+                ASSIGNMENT,
+            ),
+        ).otherwise(constant_array([], ASSIGNMENT))
+        for r, holds in zip(compiled, _conditions(compiled, F.col(body)))
+    ]
+    return documents.withColumn(log, F.flatten(F.array(*made))).withColumn(
+        into, _updated(F.col(body), F.col(log))
     )
-    applied = F.flatten(F.transform(fired, lambda i: F.get(assignments, i)))
-    return documents.withColumn(log, applied).withColumn(into, _updated(F.col(body), F.col(log)))
 
 
 def fired_rules(documents: DataFrame, rules: Config, body: str = "metadata") -> DataFrame:
@@ -134,38 +139,40 @@ def fired_rules(documents: DataFrame, rules: Config, body: str = "metadata") ->
     )
 
 
-def _fired(compiled: Rows, cells: Column) -> Column:
-    """Places, from 0, of the rules that fire on a row."""
-    marks = []
-    for place, rule in enumerate(compiled):
-        holds = compile_condition(rule["when"], cells)
-        if rule["profile"] is not None:
-            holds = (F.col("profile") == rule["profile"]) & holds
-        marks.append(F.when(holds, F.lit(place)))
-    return F.array_compact(F.array(*marks)) if marks else F.array().cast("array<int>")
+def _conditions(compiled: Rows, cells: Column) -> list[Column]:
+    """Per rule whether it fires on a row."""
+    return [
+        compile_condition(r["when"], cells)
+        if r["profile"] is None
+        else (F.col("profile") == r["profile"]) & compile_condition(r["when"], cells)
+        for r in compiled
+    ]
 
 
-def _no_assignments() -> Column:
-    return F.array().cast("array<struct<rule_no:int,field:string,kind:string,text:string>>")
+def _fired(compiled: Rows, cells: Column) -> Column:
+    """Places, from 0, of the rules that fire on a row."""
+    marks = [
+        F.when(holds, F.lit(i)).otherwise(F.lit(-1)) for i, holds in enumerate(_conditions(compiled, cells))
+    ]
+    return F.array_remove(F.array(*marks), -1) if marks else F.array().cast("array<int>")
 
 
 def _updated(cells: Column, applied: Column) -> Column:
     """The body after the assignments, in order, have been made."""
     def build(x: Column) -> Column:
-        # The last assignment of a field comes first in the reversed list.
-        old, latest, latest_names = x["old"], x["latest"], x["latest_names"]
+        old, latest = x["old"], x["latest"]
 
         def newest(field: Column) -> Column:
-            found = F.get(latest, F.array_position(latest_names, field).cast("int") - 1)
+            # The last assignment of a field comes first in the reversed list.
+            found = F.get(F.filter(latest, lambda a: a["field"] == field), F.lit(0))
             return F.when(found.isNotNull(), C.cell(found["field"], found["kind"], found["text"]))
 
         overwritten = F.transform(old, lambda c: F.coalesce(newest(c["field"]), c))
-        added = F.array_except(F.array_distinct(F.reverse(latest_names)), C.names(old))
-        return F.concat(overwritten, F.transform(added, newest))
+        return F.concat(overwritten, F.transform(x["added"], newest))
 
     context = F.struct(
         cells.alias("old"),
         F.reverse(applied).alias("latest"),
-        F.reverse(C.names(applied)).alias("latest_names"),
+        F.array_except(F.array_distinct(C.names(applied)), C.names(cells)).alias("added"),
     )
     return F.when(F.size(applied) == 0, cells).otherwise(C.let(context, build))

@@ -35,37 +35,45 @@ def template_to_schema(children: DataFrame) -> DataFrame:
     ``permissible`` come out as values (``struct<kind, text>``).
     """
     def member(name: str) -> Column:
-        return C.cell_of(F.col("field"), F.lit(name))
+        return C.cell_of(F.col("field"), name)
 
-    named = children.select(
+    # One column per step: each is parsed once, though it is used several times.
+    members = children.select(
         "profile",
         "pos",
         F.coalesce(_nonempty(member("name")), _nonempty(member("key"))).alias("name"),
         member("description").alias("description"),
         F.coalesce(member("type")["text"], F.lit("")).alias("source_type"),
-        C.cell_of(C.parse_cells(member("configuration")["text"]), F.lit("required")).alias("required"),
+        member("configuration")["text"].alias("configuration"),
         member("regex")["text"].alias("regex"),
         member("default").alias("default"),
         member("values").alias("values"),
     )
-    picked = rows_where(named, F.col("name").isNotNull())
-    type_of = constant_lookup(TEMPLATE_TYPES, "string")
-    no_value = F.struct(F.lit("null").alias("kind"), F.lit(None).cast("string").alias("text"))
-    return picked.select(
+    has_choices = F.col("source_type").isin("controlled-term-field", "radio-field", "checkbox-field") & (
+        F.col("values.kind") == "array"
+    )
+    parsed = (
+        rows_where(members, F.col("name").isNotNull())
+        .withColumn("required", C.cell_of(C.parse_cells(F.col("configuration")), "required"))
+        .withColumn("described", F.when(F.col("default.kind") == "object", C.parse_cells(F.col("default.text"))))
+        .withColumn("choices", F.when(has_choices, C.parse_values(F.col("values.text"))))
+        .withColumn("choices", F.transform("choices", _with_labels))
+        .withColumn("choices", F.array_compact(F.transform("choices", _permissible)))
+    )
+    type_of = constant_lookup((((k,), v) for k, v in TEMPLATE_TYPES.items()), "string")
+    no_value = _value(F.lit("null"), F.lit(None).cast("string"))
+    return parsed.select(
         "profile",
         "pos",
         "name",
         F.when(F.col("description").isNull(), F.lit("")).otherwise(F.col("description.text")).alias("description"),
         F.coalesce(type_of(F.col("source_type")), F.lit("text")).alias("type"),
-        F.when(
-            F.col("required").isNull(), _value(F.lit("boolean"), F.lit("false"))
-        ).otherwise(_value(F.col("required.kind"), F.col("required.text"))).alias("required"),
+        F.when(F.col("required").isNull(), _value(F.lit("boolean"), F.lit("false")))
+        .otherwise(_value(F.col("required.kind"), F.col("required.text")))
+        .alias("required"),
         "regex",
-        F.coalesce(_default(F.col("default"), F.col("source_type")), no_value).alias("default_value"),
-        F.when(
-            F.col("source_type").isin("controlled-term-field", "radio-field", "checkbox-field"),
-            _permissible(F.col("values")),
-        ).alias("permissible"),
+        F.coalesce(_default(), no_value).alias("default_value"),
+        F.when(F.size("choices") > 0, F.col("choices")).alias("permissible"),
     )
 
 
@@ -77,48 +85,38 @@ def _nonempty(cell: Column) -> Column:
     return F.when((cell["kind"] == "string") & (cell["text"] != ""), cell["text"])
 
 
-def _default(default: Column, source_type: Column) -> Column:
+def _default() -> Column:
     """A default: as it is, or the label or value of a described one."""
-    inner = C.parse_cells(default["text"])
-
-    def member(name: str) -> Column:
-        return C.cell_of(inner, F.lit(name))
-
     def of(cell: Column) -> Column:
         return F.when(cell.isNotNull(), _value(cell["kind"], cell["text"]))
 
-    label = member("label")
-    has_label = ~F.coalesce(
-        (label["kind"] == "null")
-        | label["text"].isin("", "[]", "{}")
-        | (label["kind"].isin("integer", "float", "boolean") & label["text"].isin("0", "0.0", "-0.0", "false")),
-        F.lit(True),
-    )
-    described = F.when(
-        (source_type == "controlled-term-field") & has_label, of(label)
-    ).otherwise(of(member("value")))
-    return F.when(default["kind"] == "object", described).otherwise(of(default))
-
-
-def _permissible(values: Column) -> Column:
-    """Labels of the choices; labels of digits only become integers."""
-    def label_of(value: Column) -> Column:
-        inner = C.parse_cells(value["text"])
-        label, term = C.cell_of(inner, F.lit("label")), C.cell_of(inner, F.lit("termLabel"))
-        chosen = F.when(label.isNotNull() & (label["kind"] != "null"), label).otherwise(term)
-        digits = (chosen["kind"] == "string") & chosen["text"].rlike(r"\A\p{Nd}+\z")
-        return (
-            F.when(chosen.isNull() | (chosen["kind"] == "null"), F.lit(None))
-            .when(digits, _value(F.lit("integer"), _integer_text(chosen["text"])))
-            .otherwise(_value(chosen["kind"], chosen["text"]))
-        )
+    label, value = C.cell_of(F.col("described"), "label"), C.cell_of(F.col("described"), "value")
+    labelled = (F.col("source_type") == "controlled-term-field") & C.is_true(label)
+    described = F.when(labelled, of(label)).otherwise(of(value))
+    return F.when(F.col("default.kind") == "object", described).otherwise(of(F.col("default")))
+
 
-    def one(value: Column) -> Column:
-        scalar = value["kind"].isin("string", "integer", "float", "boolean")
-        return F.when(value["kind"] == "object", label_of(value)).when(scalar, value)
+def _with_labels(choice: Column) -> Column:
+    """A choice and, if it is an object, its label: null counts as none."""
+    def pick(cells: Column) -> Column:
+        label = F.get(F.filter(cells, lambda c: (c["field"] == "label") & (c["kind"] != "null")), F.lit(0))
+        term = F.get(F.filter(cells, lambda c: (c["field"] == "termLabel") & (c["kind"] != "null")), F.lit(0))
+        return F.coalesce(label, term)
 
-    found = F.array_compact(F.transform(C.parse_values(values["text"]), one))
-    return F.when((values["kind"] == "array") & (F.size(found) > 0), found)
+    label = F.when(choice["kind"] == "object", C.let(C.parse_cells(choice["text"]), pick))
+    return F.struct(choice.alias("choice"), label.alias("label"))
+
+
+def _permissible(x: Column) -> Column:
+    """The value a choice stands for; a label of digits becomes an integer."""
+    label, choice = x["label"], x["choice"]
+    digits = (label["kind"] == "string") & label["text"].rlike(r"\A\p{Nd}+\z")
+    return (
+        F.when(choice["kind"].isin("string", "integer", "float", "boolean"), choice)
+        .when(label.isNull(), F.lit(None))
+        .when(digits, _value(F.lit("integer"), _integer_text(label["text"])))
+        .otherwise(_value(label["kind"], label["text"]))
+    )
 
 
 def _integer_text(digits: Column) -> Column:
@@ -130,10 +128,10 @@ def _integer_text(digits: Column) -> Column:
 
 def children_of_templates(templates: DataFrame) -> DataFrame:
     """Template JSON texts (``profile, content``) as rows of their fields."""
-    top = C.parse_cells(F.col("content"))
-    children = C.cell_of(top, F.lit("children"))
+    children = C.cell_of(C.parse_cells(F.col("content")), "children")["text"]
+    listed = templates.select("profile", children.alias("children"))
     parsed = (
-        unfold(templates, ["profile"], F.from_json(children["text"], "array<string>"), "text", "pos")
+        unfold(listed, ["profile"], F.from_json("children", "array<string>"), "text", "pos")
         .withColumn("field", C.parse_cells(F.col("text")))
         .drop("text")
     )
@@ -156,22 +154,21 @@ def conform_to_schema(
     the default. What the schema does not know goes to ``log``. A document of a
     profile without a schema stays as it is.
     """
-    fields = _schema_of_row(all_rows(schema, "target schema"))
+    rows = all_rows(schema, "target schema")
+    if not rows:
+        return documents.withColumn(log, F.col(body)).withColumn(into, C.no_cells())
+    fields = _schema_of_row(rows)
     context = F.struct(
-        F.col(body).alias("cells"), C.names(F.col(body)).alias("names"), fields.alias("fields")
+        F.col(body).alias("cells"), C.by_name(F.col(body)).alias("by_name"), fields.alias("fields")
     )
 
     def conformed(x: Column) -> Column:
         return F.when(x["fields"].isNull(), x["cells"]).otherwise(
-            F.transform(x["fields"], lambda f: F.coalesce(C.cell_of(x["cells"], f["field"], x["names"]), f))
+            F.transform(x["fields"], lambda f: F.coalesce(F.try_element_at(x["by_name"], f["field"]), f))
         )
 
-    excluded = C.let(
-        F.struct(F.col(body).alias("cells"), C.names(fields).alias("known")),
-        lambda x: F.filter(
-            x["cells"], lambda c: ~F.coalesce(F.array_contains(x["known"], c["field"]), F.lit(True))
-        ),
-    )
+    known = _fields_of_row(rows)
+    excluded = F.filter(F.col(body), lambda c: ~F.coalesce(known(c["field"]), F.lit(False)))
     return documents.withColumn(log, excluded).withColumn(into, C.let(context, conformed))
 
 
@@ -180,8 +177,18 @@ def _schema_of_row(rows: Rows) -> Column:
     fields: dict[str | None, list[dict]] = {}
     for r in sorted(rows, key=lambda r: r["pos"]):
         fields.setdefault(r["profile"], []).append({"field": r["name"], **r["default_value"]})
-    find = scoped_lookup(((p, ("",), f) for p, f in fields.items()), C.CELLS, profiles_of(rows))
-    return find(F.lit(""))
+    return scoped_lookup(((p, ("",), f) for p, f in fields.items()), C.CELLS, profiles_of(rows))(F.lit(""))
+
+
+def _fields_of_row(rows: Rows):
+    """Function of a field: is it in the schema that the row follows?"""
+    if all(r["profile"] is not None for r in rows):
+        # Without a schema nothing is excluded.
+        no_schema = ~F.coalesce(F.col("profile").isin(*profiles_of(rows)), F.lit(False))
+    else:
+        no_schema = F.lit(False)
+    known = scoped_lookup(((r["profile"], (r["name"],), True) for r in rows), "boolean", profiles_of(rows))
+    return lambda field: no_schema | known(field)
 
 
 # --- lookups per cell --------------------------------------------------------------
@@ -199,7 +206,7 @@ def validate_values(
     limited, member = permissible_lookups(rows)
 
     def ok(c: Column) -> Column:
-        return ~limited(c["field"]) | member(c["field"], F.concat_ws("=", c["kind"], c["text"]))
+        return ~limited(c["field"]) | member(c["field"], c["kind"], F.coalesce(c["text"], F.lit("")))
 
     return documents.withColumn(into, F.transform(F.col(body), ok))
 
@@ -207,23 +214,23 @@ def validate_values(
 def permissible_lookups(rows: Rows, by_text: bool = False):
     """Functions: has a field a list, and is a value on it.
 
-    Values are looked up as ``kind=text``, and with ``by_text`` also as ``=`` and
-    the text Python would print for them.
+    Values are looked up by kind and text, and with ``by_text`` also by an empty
+    kind and the text Python would print for them.
     """
     profiles = profiles_of(rows)
     with_list = [r for r in rows if r["permissible"] is not None]
-    pairs = {}
+    pairs = []
     for r in with_list:
         for value in r["permissible"]:
             for v in _same(value):
-                pairs[r["profile"], r["name"], "=".join(filter(None.__ne__, (v["kind"], v["text"])))] = True
+                pairs.append((r["profile"], (r["name"], v["kind"], v["text"] or ""), True))
             if by_text:
-                pairs[r["profile"], r["name"], "=" + _printed(value)] = True
+                pairs.append((r["profile"], (r["name"], "", _printed(value)), True))
     has = scoped_lookup(((r["profile"], (r["name"],), True) for r in with_list), "boolean", profiles)
-    on = scoped_lookup(((p, (n, t), True) for p, n, t in pairs), "boolean", profiles)
+    on = scoped_lookup(pairs, "boolean", profiles)
     return (
         lambda field: F.coalesce(has(field), F.lit(False)),
-        lambda field, text: F.coalesce(on(field, text), F.lit(False)),
+        lambda field, kind, text: F.coalesce(on(field, kind, text), F.lit(False)),
     )
 
 

@@ -188,11 +188,11 @@ def schema_entries(files: DataFrame) -> DataFrame:
     cells = unfold(parsed, ["profile", file.alias("source_file")], "items", "item", "pos").select(
         "profile", "source_file", "pos", C.parse_cells(F.col("item")).alias("c")
     )
-    named = rows_where(cells, C.cell_of(F.col("c"), F.lit("name"))["text"] != "")
+    named = rows_where(cells, C.cell_of(F.col("c"), "name")["text"] != "")
     fields = named.select(
         "profile",
         F.struct("source_file", "pos").alias("place"),
-        C.cell_of(F.col("c"), F.lit("name"))["text"].alias("name"),
+        C.cell_of(F.col("c"), "name")["text"].alias("name"),
         definition(F.col("c")).alias("definition"),
     )
     # Aggregates instead of a window: both are combined before the shuffle.
@@ -206,7 +206,7 @@ def schema_entries(files: DataFrame) -> DataFrame:
 def definition(cells: Column) -> Column:
     """The attributes of one field definition, with their defaults."""
     def member(name: str) -> Column:
-        return C.cell_of(cells, F.lit(name))
+        return C.cell_of(cells, name)
 
     required = member("required")
     default = member("default_value")
@@ -214,7 +214,7 @@ def definition(cells: Column) -> Column:
     return F.struct(
         F.coalesce(member("description")["text"], F.lit("")).alias("description"),
         F.coalesce(member("type")["text"], F.lit("text")).alias("type"),
-        is_true(required).alias("required"),
+        C.is_true(required).alias("required"),
         F.coalesce((required["kind"] == "boolean") & (required["text"] == "true"), F.lit(False)).alias(
             "required_strict"
         ),
@@ -224,10 +224,3 @@ def definition(cells: Column) -> Column:
         ).alias("default_value"),
         F.when(permissible["kind"] == "array", C.parse_values(permissible["text"])).alias("permissible"),
     )
-
-
-def is_true(cell: Column) -> Column:
-    """Whether a value counts as true: not null, false, zero or empty."""
-    empty = cell["text"].isin("false", "0", "0.0", "-0.0", "", "[]", "{}")
-    text_is_full = (cell["kind"] == "string") & (cell["text"] != "")
-    return F.coalesce((cell["kind"] != "null") & (text_is_full | ~empty), F.lit(False))

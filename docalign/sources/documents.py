@@ -41,7 +41,7 @@ def parse_documents(texts: DataFrame, id_field: str = "record_id") -> DataFrame:
     is absent counts as empty; a null or non-object body is an error.
     """
     parsed = texts.withColumn("_top", C.parse_cells(F.col("content")))
-    placed = parsed.withColumn("_body", C.cell_of(F.col("_top"), F.lit("metadata")))
+    placed = parsed.withColumn("_body", C.cell_of(F.col("_top"), "metadata"))
     body = (
         F.when(F.col("_top").isNull(), F.lit(None).cast(C.CELLS))
         .when(F.col("_body").isNull(), C.no_cells())
@@ -60,7 +60,7 @@ def parse_documents(texts: DataFrame, id_field: str = "record_id") -> DataFrame:
         .otherwise(F.lit("invalid JSON"))
     )
     heads = [
-        C.cell_of(F.col("_top"), F.lit(source))["text"].alias(name)
+        C.cell_of(F.col("_top"), source)["text"].alias(name)
         for name, source in [("record_id", id_field), *[(f, f) for f in HEAD_FIELDS]]
     ]
     carried = [c for c in texts.columns if c != "content"]
@@ -135,27 +135,21 @@ def document_json(documents: DataFrame) -> Column:
     ``processing_log``, each only if its column is there.
     """
     def member(name: str, text: Column) -> Column:
-        return F.concat(C.json_string(F.lit(name)), F.lit(":"), text)
+        return F.array(F.lit(f',"{name}":'), text)
 
     body = member("metadata", C.json_object(F.col("metadata")))
     if "head" in documents.columns:
-        top = F.transform(
-            F.col("head"),
-            lambda c: F.concat(
-                C.json_string(c["field"]), F.lit(":"), C.json_value(c["kind"], c["text"])
-            ),
-        )
+        top = F.transform(F.col("head"), lambda c: C.json_member(c["field"], c))
         # The body goes in by position, so it is rendered once per document.
         at = F.array_position(C.names(F.col("head")), F.lit("metadata")).cast("int")
         placed = F.when(
             at > 0,
-            F.concat(
-                F.slice(top, F.lit(1), at - 1), F.array(body), F.slice(top, at + 1, F.size(top))
-            ),
+            F.concat(F.slice(top, F.lit(1), at - 1), F.array(body), F.slice(top, at + 1, F.size(top))),
         ).otherwise(top)
     else:
         known = [n for n in ("uuid", "record_id", *HEAD_FIELDS[1:]) if n in documents.columns]
-        placed = F.array_compact(F.array(*[member(n, C.json_string(F.col(n))) for n in known], body))
+        parts = [F.when(F.col(n).isNotNull(), member(n, C.json_string(F.col(n)))) for n in known]
+        placed = F.array_compact(F.array(*parts, body))
     extra = []
     if "modified_metadata" in documents.columns:
         extra.append(member("modified_metadata", C.json_object(F.col("modified_metadata"))))
@@ -163,59 +157,46 @@ def document_json(documents: DataFrame) -> Column:
         extra.append(member("json_patch", patch_json(F.col("json_patch"))))
     if "processing_log" in documents.columns:
         extra.append(member("processing_log", log_json(F.col("processing_log"))))
-    members = F.concat(placed, F.array(*extra)) if extra else placed
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+    return C.enclosed(F.concat(placed, F.array(*extra)) if extra else placed, "{", "}")
 
 
 def patch_json(patch: Column) -> Column:
     """Diff operations as a JSON array."""
     def one(p: Column) -> Column:
-        value = F.when(
-            p["op"] != "remove", F.concat(F.lit(',"value":'), C.json_value(p["kind"], p["text"]))
-        ).otherwise(F.lit(""))
-        head = F.concat(F.lit('{"op":"'), p["op"], F.lit('","path":'), C.json_string(p["path"]))
-        return F.concat(head, value, F.lit("}"))
+        start = F.array(
+            F.lit(',{"op":"'), p["op"], F.lit('","path":"'), C.escaped(p["path"]), F.lit('"')
+        )
+        value = F.when(p["op"] == "remove", F.array().cast("array<string>")).otherwise(
+            C.json_member(F.lit("value"), p)
+        )
+        return F.flatten(F.array(start, value, F.array(F.lit("}"))))
 
-    return F.concat(F.lit("["), F.array_join(F.transform(patch, one), ","), F.lit("]"))
+    return C.enclosed(F.transform(patch, one), "[", "]")
 
 
 def log_json(log: Column) -> Column:
     """The processing log as JSON text, its four parts in fixed order."""
-    def pair(key: Column, value: Column) -> Column:
-        return F.concat(C.json_string(key), F.lit(":"), value)
+    def rename(e: Column) -> Column:
+        return F.array(F.lit(',"'), C.escaped(e["legacy"]), F.lit('":"'), C.escaped(e["target"]), F.lit('"'))
 
-    def joined(items: Column, left: str, right: str) -> Column:
-        return F.concat(F.lit(left), F.array_join(items, ","), F.lit(right))
+    def value(e: Column) -> Column:
+        start = F.array(F.lit(',"'), C.escaped(e["field"]), F.lit('":{"'), C.escaped(e["old"]), F.lit('"'))
+        # A member without its name: what follows is the colon and the value.
+        pieces = C.json_member(F.lit(""), e)
+        return F.flatten(F.array(start, F.slice(pieces, 4, 9), F.array(F.lit("}"))))
+
+    def ambiguous(e: Column) -> Column:
+        start = F.array(F.lit(',{"field":"'), C.escaped(e["field"]), F.lit('"'))
+        options = F.array(F.lit(',"permissible_values":'), C.json_array(e["options"]), F.lit("}"))
+        return F.flatten(F.array(start, C.json_member(F.lit("value"), e), options))
 
-    renames = F.transform(
-        log["field_mappings"], lambda e: pair(e["legacy"], C.json_string(e["target"]))
-    )
-    values = F.transform(
-        log["value_mappings"],
-        lambda e: pair(
-            e["field"],
-            F.concat(F.lit("{"), pair(e["old"], C.json_value(e["kind"], e["text"])), F.lit("}")),
-        ),
-    )
-    ambiguous = F.transform(
-        log["ambiguous_mappings"],
-        lambda e: F.concat(
-            F.lit('{"field":'),
-            C.json_string(e["field"]),
-            F.lit(',"value":'),
-            C.json_value(e["kind"], e["text"]),
-            F.lit(',"permissible_values":'),
-            joined(F.transform(e["options"], lambda o: C.json_value(o["kind"], o["text"])), "[", "]"),
-            F.lit("}"),
-        ),
-    )
     return F.concat(
         F.lit('{"field_mappings":'),
-        joined(renames, "{", "}"),
+        C.enclosed(F.transform(log["field_mappings"], rename), "{", "}"),
         F.lit(',"value_mappings":'),
-        joined(values, "{", "}"),
+        C.enclosed(F.transform(log["value_mappings"], value), "{", "}"),
         F.lit(',"ambiguous_mappings":'),
-        joined(ambiguous, "[", "]"),
+        C.enclosed(F.transform(log["ambiguous_mappings"], ambiguous), "[", "]"),
         F.lit(',"excluded_data":'),
         C.json_object(log["excluded_data"]),
         F.lit("}"),
