@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docalign.operators.config import field_map, rules, target_schema, value_map
 from docalign.sources.documents import table_to_documents
+from docalign.sources.files import spread
 
 BASE_URL = "https://example.org/browse/"
 HINTS = {"code": "Must be LC- and three digits, such as LC-001", "total": "Digits only"}
@@ -110,7 +111,7 @@ SCHEMA = target_schema(
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their customer's region and segment, as documents."""
     wide = (
-        table(spark, folder, "orders")
+        spread(table(spark, folder, "orders"), "o_orderkey")
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -185,7 +186,7 @@ def event_texts(spark: SparkSession, folder: str) -> DataFrame:
     head = F.concat(
         F.lit('{"uuid":"'), F.col("event_id").cast("string"), F.lit('","group_name":"'), F.col("event_type")
     )
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events"), "event_id").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("stem"),
         F.concat(F.lit("e"), F.col("event_id").cast("string"), F.lit(".json")).alias("source_file"),
@@ -350,6 +351,6 @@ def template_files(spark: SparkSession, folder: str) -> DataFrame:
     content = F.concat(
         F.lit('{"name":"t","children":['), first, F.lit(',{"type":"text-field"},"junk",{"name":"last"}]}')
     )
-    return table(spark, folder, "customer").select(
+    return spread(table(spark, folder, "customer"), "c_custkey").select(
         F.concat(F.lit("template-"), key).alias("profile"), content.alias("content")
     )

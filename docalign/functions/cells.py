@@ -22,6 +22,7 @@ CELLS = f"array<{CELL}>"
 
 # Spark also reads quotes of the wrong sort; plain JSON does not have them.
 _STRICT = {"allowSingleQuotes": "false"}
+_NUMBER = r"\A-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?\z"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -176,30 +177,68 @@ def _last_wins(cells: Column) -> Column:
     )
 
 
+def _by_look(field: Column, raw: Column) -> Column:
+    """One cell from raw text alone, which does not tell "1" from 1."""
+    kind = (
+        F.when(raw.isNull(), F.lit("null"))
+        .when(raw.isin("true", "false"), F.lit("boolean"))
+        .when(raw.rlike(r"\A-?\d+\z"), F.lit("integer"))
+        .when(raw.rlike(_NUMBER), F.lit("float"))
+        .when(raw.startswith("{"), F.lit("object"))
+        .when(raw.startswith("["), F.lit("array"))
+        .otherwise(F.lit("string"))
+    )
+    return cell(field, kind, raw)
+
+
 def parse_cells(text: Column) -> Column:
     """Cells of a JSON object text, in document order; null if it is none."""
     needs_raw = r"\A(?:OBJECT|ARRAY|DOUBLE|DECIMAL\((?:19|[23]\d))"
-    entries = F.map_entries(_one_object(text, "variant"))
     with_raw = let(
-        entries,
+        F.map_entries(_one_object(text, "variant")),
         lambda e: F.struct(
             e.alias("entries"),
-            # A second parse keeps nested text and long numbers as written.
+            # A second parse keeps nested text and long numbers as written. It
+            # also stands in where a nested object repeats a key, which a
+            # variant cannot hold.
             F.when(
-                F.exists(e, lambda x: F.schema_of_variant(x["value"]).rlike(needs_raw)),
-                F.map_values(_one_object(text, "string")),
+                e.isNull() | F.exists(e, lambda x: F.schema_of_variant(x["value"]).rlike(needs_raw)),
+                F.map_entries(_one_object(text, "string")),
             ).alias("raws"),
         ),
     )
     cells = let(
         with_raw,
-        lambda p: F.transform(
-            p["entries"], lambda e, i: _classify(e["key"], e["value"], F.get(p["raws"], i))
+        lambda p: F.coalesce(
+            F.transform(
+                p["entries"], lambda e, i: _classify(e["key"], e["value"], F.get(p["raws"], i)["value"])
+            ),
+            F.transform(p["raws"], lambda e: _by_look(e["key"], e["value"])),
         ),
     )
     return _last_wins(cells)
 
 
+def parse_head(text: Column, body: str) -> Column:
+    """Cells of a whole document, in which ``body`` keeps its raw text.
+
+    The raw texts suffice unless one of them could be a string as well as
+    something else: most documents are spared a parse of their kinds.
+    """
+    def unclear(e: Column) -> Column:
+        look = e["value"].rlike(rf"(?s)\A(?:true|false|[\[{{].*)\z|{_NUMBER}")
+        return (e["key"] != body) & F.coalesce(look, F.lit(False))
+
+    quoted_body = text.rlike(rf'"{body}"\s*:\s*"')
+    entries = F.map_entries(_one_object(text, "string"))
+    return let(
+        entries,
+        lambda raws: F.when(
+            quoted_body | F.exists(raws, unclear), parse_cells(text)
+        ).otherwise(_last_wins(F.transform(raws, lambda e: _by_look(e["key"], e["value"])))),
+    )
+
+
 def parse_values(text: Column) -> Column:
     """A JSON array as ``array<struct<kind, text>>``; null if it is none."""
     raws = F.from_json(text, "array<string>", _STRICT)

@@ -27,7 +27,7 @@ def _checked(value: Column, ok: Column, message: str) -> Column:
 
 def read_crosswalk(spark: SparkSession, path: str | list[str], profile: str | None = None) -> DataFrame:
     """Crosswalk CSV files as unpivoted rows, see ``crosswalk_cells``."""
-    return crosswalk_cells(scan_text(spark, path, "*.csv", profile=profile))
+    return crosswalk_cells(scan_text(spark.read, path, "*.csv", profile=profile))
 
 
 def crosswalk_cells(files: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def crosswalk_cells(files: DataFrame) -> DataFrame:
     and leaves out the header. Cells are kept as they are, blanks included.
     """
     line = r'(?:"(?:[^"]++|"")*+"|[^"\r\n])++'
-    item = r'(?:^|,)((?:"(?:[^"]++|"")*+"|[^,"]++)*+)'
+    item = r',((?:"(?:[^"]++|"")*+"|[^,"]++)*+)'
 
     def unquoted(text: Column) -> Column:
         inner = F.regexp_replace(text, r'(?s)\A"(.*)"\z', "$1")
@@ -47,7 +47,9 @@ def crosswalk_cells(files: DataFrame) -> DataFrame:
     lines = F.regexp_extract_all("content", F.lit(line), F.lit(0))
     rows = F.transform(
         lines,
-        lambda text: F.transform(F.regexp_extract_all(text, F.lit(item), F.lit(1)), unquoted),
+        lambda text: F.transform(
+            F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(item), F.lit(1)), unquoted
+        ),
     )
     shaped = files.select("profile", "source_file", rows.alias("rows"))
     enough = (F.size("rows") >= 2) & (F.size(F.get("rows", F.lit(0))) >= 2)
@@ -85,12 +87,12 @@ def read_field_map(spark: SparkSession, path: str, profile: str | None = None) -
     """One field map file; it must be a ``.json`` file with an object."""
     if not path.lower().endswith(".json"):
         raise ValueError(f"a field map must be a JSON file: {path}")
-    return field_map_entries(scan_text(spark, path, None, profile=profile))
+    return field_map_entries(scan_text(spark.read, path, None, profile=profile))
 
 
 def read_field_maps(spark: SparkSession, path: str, profile: str | None = None) -> DataFrame:
     """All field map files of a folder, before ``merge_field_maps``."""
-    return field_map_entries(scan_text(spark, path, "*.json", profile=profile))
+    return field_map_entries(scan_text(spark.read, path, "*.json", profile=profile))
 
 
 def field_map_entries(files: DataFrame) -> DataFrame:
@@ -108,7 +110,7 @@ def field_map_entries(files: DataFrame) -> DataFrame:
 
 def read_value_maps(spark: SparkSession, path: str, profile: str | None = None) -> DataFrame:
     """Value map files of a folder, merged by ``normalize_value_map``."""
-    return normalize_value_map(value_map_entries(scan_text(spark, path, "*.json", profile=profile)))
+    return normalize_value_map(value_map_entries(scan_text(spark.read, path, "*.json", profile=profile)))
 
 
 def value_map_entries(files: DataFrame) -> DataFrame:
@@ -137,9 +139,9 @@ def read_rules(
     """Rules of a folder, searched with its subfolders, then those of a file."""
     parts = []
     if folder is not None:
-        parts.append(scan_text(spark, folder, "*.json", recursive=True, profile=profile).withColumn("part", F.lit(0)))
+        parts.append(scan_text(spark.read, folder, "*.json", recursive=True, profile=profile).withColumn("part", F.lit(0)))
     if file is not None:
-        parts.append(scan_text(spark, file, None, profile=profile).withColumn("part", F.lit(1)))
+        parts.append(scan_text(spark.read, file, None, profile=profile).withColumn("part", F.lit(1)))
     if not parts:
         raise ValueError("give a folder or a file of rules")
     files = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -171,7 +173,7 @@ def rule_entries(files: DataFrame) -> DataFrame:
 def read_target_schema(spark: SparkSession, path: str, profile: str | None = None) -> DataFrame:
     """A target schema file as rows, see ``schema_entries``."""
     pattern = None if path.lower().endswith(".json") else "*.json"
-    return schema_entries(scan_text(spark, path, pattern, profile=profile))
+    return schema_entries(scan_text(spark.read, path, pattern, profile=profile))
 
 
 def schema_entries(files: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def read_documents(
     Lines (``one_per_file=False``), which also splits by byte range.
     """
     pattern = "*.json" if one_per_file else None
-    files = scan_text(spark, path, pattern, whole=one_per_file, profile=profile)
+    files = scan_text(spark.read, path, pattern, whole=one_per_file, profile=profile)
     return parse_documents(files, id_field)
 
 
@@ -40,7 +40,7 @@ def parse_documents(texts: DataFrame, id_field: str = "record_id") -> DataFrame:
     ``metadata``, and ``error``, which is null for a good document. A body that
     is absent counts as empty; a null or non-object body is an error.
     """
-    parsed = texts.withColumn("_top", C.parse_cells(F.col("content")))
+    parsed = texts.withColumn("_top", C.parse_head(F.col("content"), "metadata"))
     placed = parsed.withColumn("_body", C.cell_of(F.col("_top"), "metadata"))
     body = (
         F.when(F.col("_top").isNull(), F.lit(None).cast(C.CELLS))
@@ -204,15 +204,16 @@ def log_json(log: Column) -> Column:
 
 
 def write_documents(documents: DataFrame, path: str, mode: str = "error") -> None:
-    """Write output documents as JSON Lines under ``path``.
+    """Write output documents to a Parquet table under ``path``.
 
-    Files are laid out by ``dataset_type`` so that later reads prune; each
-    line carries its input as ``source_file``. The rows stay where they are,
-    so a type that holds most documents is written by many tasks.
+    One row per input, with its ``source_file`` and the ``document`` as JSON
+    text. Files are laid out by ``dataset_type`` so that later reads prune. The
+    rows stay where they are: a type that holds most documents is written by
+    many tasks.
     """
     rows = documents.select(
         F.coalesce("dataset_type", F.lit("Unknown")).alias("dataset_type"),
-        F.col("source_file"),
+        *(["source_file"] if "source_file" in documents.columns else []),
         document_json(documents).alias("document"),
     )
     rows.write.mode(mode).partitionBy("dataset_type").parquet(path)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from docalign.functions.text import file_stem
 
 
 def scan_text(
-    spark: SparkSession,
+    reader: DataFrameReader | DataStreamReader,
     path: str | list[str],
     pattern: str | None = "*.json",
     whole: bool = True,
@@ -21,7 +22,7 @@ def scan_text(
     ``whole`` makes one row per file, else one row per line. Without
     ``profile`` the column is null, which means "all profiles".
     """
-    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    reader = reader.option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.text(path, wholetext=whole).select(
@@ -30,3 +31,14 @@ def scan_text(
         file_stem(F.col("_metadata.file_name")).alias("stem"),
         F.col("value").alias("content"),
     )
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Give the tasks of a scan of few files to all cores, by a hash of ``key``.
+
+    A file that cannot be split is one task, and the expressions on documents
+    take far longer than the scan. With as many files as cores nothing happens.
+    ``key`` should be close to unique.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, key)
