@@ -16,10 +16,10 @@ from docalign.operators.values import normalize_value_map
 from docalign.sources.files import scan_text
 
 
-def _checked(value: Column, ok: Column, message: str) -> Column:
-    """``value``, or an error that names the file."""
+def _checked(array: Column, ok: Column, message: str) -> Column:
+    """``array``, or an error that names the file."""
     text = F.concat(F.lit(f"{message}: "), F.coalesce("source_file", F.lit("?")))
-    return F.when(ok, value).otherwise(F.raise_error(text).cast("string"))
+    return F.when(ok, array).otherwise(F.raise_error(text))
 
 
 # --- crosswalks ---------------------------------------------------------------
@@ -53,11 +53,11 @@ def crosswalk_cells(files: DataFrame) -> DataFrame:
     )
     shaped = files.select("profile", "source_file", rows.alias("rows"))
     enough = (F.size("rows") >= 2) & (F.size(F.get("rows", F.lit(0))) >= 2)
-    file = _checked(F.col("source_file"), enough, "a crosswalk needs a header, a row and two columns")
+    data = F.slice("rows", F.lit(2), F.size("rows"))
     checked = unfold(
         shaped,
-        ["profile", file.alias("source_file"), F.get("rows", F.lit(0)).alias("header")],
-        F.slice("rows", F.lit(2), F.size("rows")),
+        ["profile", "source_file", F.get("rows", F.lit(0)).alias("header")],
+        _checked(data, enough, "a crosswalk needs a header, a row and two columns"),
         "row",
         "row_pos",
     )
@@ -99,8 +99,8 @@ def field_map_entries(files: DataFrame) -> DataFrame:
     """``profile, source_file, pos, legacy, target``; a target may be null."""
     cells = C.parse_cells(F.col("content"))
     parsed = files.select("profile", "source_file", cells.alias("cells"))
-    file = _checked(F.col("source_file"), F.col("cells").isNotNull(), "a field map must be a JSON object")
-    return unfold(parsed, ["profile", file.alias("source_file")], "cells", "c", "pos").select(
+    members = _checked(F.col("cells"), F.col("cells").isNotNull(), "a field map must be a JSON object")
+    return unfold(parsed, ["profile", "source_file"], members, "c", "pos").select(
         "profile", "source_file", "pos", F.col("c.field").alias("legacy"), F.col("c.text").alias("target")
     )
 
@@ -121,8 +121,8 @@ def value_map_entries(files: DataFrame) -> DataFrame:
     """
     cells = C.parse_cells(F.col("content"))
     parsed = files.select("profile", "source_file", "stem", cells.alias("cells"))
-    file = _checked(F.col("source_file"), F.col("cells").isNotNull(), "a value map must be a JSON object")
-    return unfold(parsed, ["profile", file.alias("source_file"), "stem"], "cells", "c", "pos").select(
+    members = _checked(F.col("cells"), F.col("cells").isNotNull(), "a value map must be a JSON object")
+    return unfold(parsed, ["profile", "source_file", "stem"], members, "c", "pos").select(
         "profile", "source_file", "stem", "pos", F.col("c.field").alias("key"), "c.kind", "c.text"
     )
 
@@ -163,8 +163,8 @@ def rule_entries(files: DataFrame) -> DataFrame:
         "content",
     )
     is_list = F.col("rules").isNotNull() & F.ltrim("content").startswith("[")
-    file = _checked(F.col("source_file"), is_list, "a rule file must hold a JSON array")
-    return unfold(parsed, ["profile", "part", file.alias("source_file")], "rules", "r", "pos").select("profile", "part", "source_file", "pos", F.col("r.when").alias("when"), F.col("r.then").alias("then"))
+    found = _checked(F.col("rules"), is_list, "a rule file must hold a JSON array")
+    return unfold(parsed, ["profile", "part", "source_file"], found, "r", "pos").select("profile", "part", "source_file", "pos", F.col("r.when").alias("when"), F.col("r.then").alias("then"))
 
 
 # --- target schemas -------------------------------------------------------------
@@ -186,8 +186,8 @@ def schema_entries(files: DataFrame) -> DataFrame:
     """
     parsed = files.select("profile", "source_file", F.from_json("content", "array<string>").alias("items"), "content")
     is_list = F.col("items").isNotNull() & F.ltrim("content").startswith("[")
-    file = _checked(F.col("source_file"), is_list, "a target schema must be a JSON array")
-    cells = unfold(parsed, ["profile", file.alias("source_file")], "items", "item", "pos").select(
+    found = _checked(F.col("items"), is_list, "a target schema must be a JSON array")
+    cells = unfold(parsed, ["profile", "source_file"], found, "item", "pos").select(
         "profile", "source_file", "pos", C.parse_cells(F.col("item")).alias("c")
     )
     named = rows_where(cells, C.cell_of(F.col("c"), "name")["text"] != "")
