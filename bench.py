@@ -28,6 +28,8 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        # Building plans from Python is a good part of a run this small.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -43,8 +43,15 @@ def _issue(field: Column, value: Column) -> Column:
     return F.struct(field.alias("field"), value.alias("value"))
 
 
-def _text(c: Column) -> Column:
-    return C.python_text(c["kind"], c["text"])
+def _printed(body: str) -> Column:
+    """The cells of a body, each with the text Python prints for its value."""
+    def one(c: Column) -> Column:
+        printed = C.python_text(c["kind"], c["text"])
+        return F.struct(
+            c["field"].alias("field"), c["kind"].alias("kind"), c["text"].alias("text"), printed.alias("printed")
+        )
+
+    return F.transform(F.col(body), one)
 
 
 def find_nonpermissible(
@@ -60,11 +67,11 @@ def find_nonpermissible(
         return (
             (c["kind"] != "null")
             & limited(c["field"])
-            & ~member(c["field"], F.lit(""), _text(c))
+            & ~member(c["field"], F.lit(""), c["printed"])
             & ~member(c["field"], c["kind"], c["text"])
         )
 
-    found = F.transform(F.filter(F.col(body), wrong), lambda c: _issue(c["field"], _text(c)))
+    found = F.transform(F.filter(_printed(body), wrong), lambda c: _issue(c["field"], c["printed"]))
     return documents.withColumn(into, found)
 
 
@@ -125,14 +132,14 @@ def find_regex_violations(
         return documents.withColumn(into, none)
 
     def broken(c: Column) -> Column:
-        text, which = _text(c), find(c["field"])
+        text, which = c["printed"], find(c["field"])
         first = F.when(which == 0, ~matches_whole(text, patterns[0]))
         case = reduce(
             lambda w, i: w.when(which == i, ~matches_whole(text, patterns[i])), range(1, len(patterns)), first
         )
         return F.coalesce((c["kind"] != "null") & case & ~is_blank(text), F.lit(False))
 
-    found = F.transform(F.filter(F.col(body), broken), lambda c: _issue(c["field"], _text(c)))
+    found = F.transform(F.filter(_printed(body), broken), lambda c: _issue(c["field"], c["printed"]))
     return documents.withColumn(into, found)
 
 

@@ -73,61 +73,63 @@ def standardize_values(
     decision.
     """
     rows = small_rows(value_map)
-    key_of = lambda c: C.python_text(c["kind"], c["text"])
     if rows is None:
         table = value_map.where(F.col("legacy_key").isNotNull()).withColumn(
             "target", F.struct("is_list", "options")
         )
-        documents, hits = attach_matches(
-            documents, table, body, {"field": lambda c: c["field"], "legacy_key": key_of}, "target", document_key
+        keys = {"field": lambda c: c["field"], "legacy_key": _key}
+        documents, hits = attach_matches(documents, table, body, keys, "target", document_key)
+        matches = F.zip_with(
+            F.col(body), hits, lambda c, h: F.struct(c.alias("cell"), _key(c).alias("old"), h.alias("hit"))
         )
     else:
         find = _value_lookup(rows)
-        hits = F.transform(F.col(body), lambda c: find(c["field"], key_of(c)))
-    matched = "_matched"
-    several = lambda m: m["hit"]["is_list"] & (F.size(m["hit"]["options"]) > 1)
-    with_hits = documents.withColumn(
-        matched,
-        F.zip_with(F.col(body), hits, lambda c, h: F.struct(c.alias("cell"), h.alias("hit"))),
-    )
-    replaced = F.filter(F.col(matched), lambda m: m["hit"].isNotNull() & ~several(m))
-    open_ones = F.filter(F.col(matched), lambda m: m["hit"].isNotNull() & several(m))
-    return (
-        with_hits.withColumn(
-            into,
-            F.transform(
-                F.col(matched),
-                lambda m: F.when(m["hit"].isNull() | several(m), m["cell"]).otherwise(_new_cell(m)),
+        with_keys = F.transform(F.col(body), lambda c: F.struct(c.alias("cell"), _key(c).alias("old")))
+        matches = F.transform(
+            with_keys,
+            lambda k: F.struct(
+                k["cell"].alias("cell"), k["old"].alias("old"), find(k["cell"]["field"], k["old"]).alias("hit")
             ),
         )
-        .withColumn(
-            log,
-            F.transform(
-                replaced,
-                lambda m: F.struct(
-                    m["cell"]["field"].alias("field"),
-                    key_of(m["cell"]).alias("old"),
-                    _new_cell(m)["kind"].alias("kind"),
-                    _new_cell(m)["text"].alias("text"),
-                ),
-            ),
+    matched = F.col("_matched")
+    several = lambda m: m["hit"]["is_list"] & (F.size(m["hit"]["options"]) > 1)
+    replaced = F.filter(matched, lambda m: m["hit"].isNotNull() & ~several(m))
+    open_ones = F.filter(matched, lambda m: m["hit"].isNotNull() & several(m))
+
+    def logged(m: Column) -> Column:
+        new = _new_cell(m)
+        return F.struct(
+            m["cell"]["field"].alias("field"), m["old"].alias("old"), new["kind"].alias("kind"), new["text"].alias("text")
+        )
+
+    def left_open(m: Column) -> Column:
+        cell = m["cell"]
+        return F.struct(
+            cell["field"].alias("field"),
+            cell["kind"].alias("kind"),
+            cell["text"].alias("text"),
+            m["hit"]["options"].alias("options"),
         )
+
+    return (
+        documents.withColumn("_matched", matches)
         .withColumn(
-            ambiguous_log,
+            into,
             F.transform(
-                open_ones,
-                lambda m: F.struct(
-                    m["cell"]["field"].alias("field"),
-                    m["cell"]["kind"].alias("kind"),
-                    m["cell"]["text"].alias("text"),
-                    m["hit"]["options"].alias("options"),
-                ),
+                matched, lambda m: F.when(m["hit"].isNull() | several(m), m["cell"]).otherwise(_new_cell(m))
             ),
         )
-        .drop(matched, *[c for c in documents.columns if c.startswith("_match_")])
+        .withColumn(log, F.transform(replaced, logged))
+        .withColumn(ambiguous_log, F.transform(open_ones, left_open))
+        .drop("_matched", *[c for c in documents.columns if c.startswith("_match_")])
     )
 
 
+def _key(cell: Column) -> Column:
+    """The text by which a value is looked up."""
+    return C.python_text(cell["kind"], cell["text"])
+
+
 def _new_cell(m: Column) -> Column:
     only = F.get(m["hit"]["options"], F.lit(0))
     return F.when(

@@ -18,6 +18,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
