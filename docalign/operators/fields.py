@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,30 +80,22 @@ def rename_fields(
         documents, targets = attach_matches(
             documents, field_map, body, {"legacy": lambda c: c["field"]}, "target", document_key
         )
+        entries = F.zip_with(F.col(body), targets, _entry)
     else:
         find = _target_lookup(rows)
-        targets = F.transform(F.col(body), lambda c: find(c["field"]))
-    renamed = "_renamed"
-    placed = documents.withColumn(renamed, _keyed(F.col(body), targets))
-    clear = F.size(F.array_distinct(F.col(renamed)["key"])) == F.size(renamed)
-    moves = F.filter(
-        F.col(renamed), lambda k: k["mapped"] & (k["cell"]["field"] != k["key"])
-    )
-    kept = F.when(clear, F.col(renamed)).otherwise(_resolved(F.col(renamed)))
-    kept_moves = F.when(clear, moves).otherwise(_first_moves(F.col(renamed)))
+        entries = F.transform(F.col(body), lambda c: _entry(c, find(c["field"])))
+    renamed = F.col("_renamed")
+    clear = F.size(F.array_distinct(F.transform(renamed, _key))) == F.size(renamed)
+    kept = F.when(clear, renamed).otherwise(_resolved(renamed))
+    moved = F.filter(F.when(clear, renamed).otherwise(_firsts(renamed)), lambda k: k["target"] != k["field"])
     return (
-        placed.withColumn(
-            into,
-            F.transform(kept, lambda k: C.cell(k["key"], k["cell"]["kind"], k["cell"]["text"])),
-        )
+        documents.withColumn("_renamed", entries)
+        .withColumn(into, F.transform(kept, lambda k: C.cell(_key(k), k["kind"], k["text"])))
         .withColumn(
             log,
-            F.transform(
-                kept_moves,
-                lambda k: F.struct(k["cell"]["field"].alias("legacy"), k["key"].alias("target")),
-            ),
+            F.transform(moved, lambda k: F.struct(k["field"].alias("legacy"), k["target"].alias("target"))),
         )
-        .drop(renamed, *[c for c in documents.columns if c.startswith("_match_")])
+        .drop("_renamed", *[c for c in documents.columns if c.startswith("_match_")])
     )
 
 
@@ -114,37 +108,37 @@ def _target_lookup(rows: Rows):
     )
 
 
-def _keyed(cells: Column, targets: Column) -> Column:
-    return F.zip_with(
-        cells,
-        targets,
-        lambda c, t: F.struct(
-            F.coalesce(t, c["field"]).alias("key"), t.isNotNull().alias("mapped"), c.alias("cell")
-        ),
+def _entry(cell: Column, target: Column) -> Column:
+    """A cell with the target of its field, null for none."""
+    return F.struct(
+        target.alias("target"), cell["field"].alias("field"), cell["kind"].alias("kind"), cell["text"].alias("text")
     )
 
 
-def _by_key(keyed: Column, choose) -> Column:
+def _key(entry: Column) -> Column:
+    return F.coalesce(entry["target"], entry["field"])
+
+
+def _by_key(entries: Column, choose: Callable[[Column], Column]) -> Column:
     """One entry per name, for bodies in which names meet."""
     return C.let(
-        keyed,
+        entries,
         lambda all_: F.transform(
-            F.array_distinct(all_["key"]),
-            lambda key: choose(F.filter(all_, lambda k: k["key"] == key)),
+            F.array_distinct(F.transform(all_, _key)),
+            lambda key: choose(F.filter(all_, lambda k: _key(k) == key)),
         ),
     )
 
 
-def _resolved(keyed: Column) -> Column:
+def _firsts(entries: Column) -> Column:
+    return _by_key(entries, lambda same: F.get(same, F.lit(0)))
+
+
+def _resolved(entries: Column) -> Column:
     # Field names are unique, so at most one entry keeps its name unmapped.
     return _by_key(
-        keyed,
+        entries,
         lambda same: F.coalesce(
-            F.get(F.filter(same, lambda k: ~k["mapped"]), F.lit(0)), F.get(same, F.lit(0))
+            F.get(F.filter(same, lambda k: k["target"].isNull()), F.lit(0)), F.get(same, F.lit(0))
         ),
     )
-
-
-def _first_moves(keyed: Column) -> Column:
-    firsts = _by_key(keyed, lambda same: F.get(same, F.lit(0)))
-    return F.filter(firsts, lambda k: k["mapped"] & (k["cell"]["field"] != k["key"]))
