@@ -1,8 +1,8 @@
 """Config tables as operators take them.
 
 Rows come as a list of dicts, or as a DataFrame of the same columns. A
-DataFrame is read on the driver only up to ``CONSTANT_ROWS`` rows; a table with
-more stays a DataFrame, and the operators that can meet such tables join it.
+DataFrame is read on the driver only up to ``CONSTANT_ROWS`` rows; a field or
+value map with more stays a DataFrame and is joined.
 
 Every table has a ``profile`` column. A document follows the rows of its own
 profile; documents of a profile that the table does not name follow the rows
@@ -21,28 +21,30 @@ from pyspark.sql import functions as F
 from docalign.functions.cells import value_of
 from docalign.functions.lookup import constant_lookup
 
-# Largest config table that is folded into the plan as a constant.
-CONSTANT_ROWS = 100_000
+# Largest lookup table that is folded into the plan as a constant; beyond it, a
+# join is faster than planning with so large a literal.
+CONSTANT_ROWS = 20_000
+# Largest table of rules or schema fields that is compiled into expressions.
+COMPILED_ROWS = 100_000
 
 Rows = list[dict[str, Any]]
 Config = Union[Rows, DataFrame]
 
 
 def small_rows(config: Config, limit: int | None = None) -> Rows | None:
-    """The rows as dicts, or None when there are more than the limit."""
+    """The rows as dicts, or None for a DataFrame with more than the limit."""
+    if not isinstance(config, DataFrame):
+        return list(config)
     limit = CONSTANT_ROWS if limit is None else limit
-    if isinstance(config, DataFrame):
-        found = [r.asDict(recursive=True) for r in config.limit(limit + 1).collect()]
-    else:
-        found = list(config)
+    found = [r.asDict(recursive=True) for r in config.limit(limit + 1).collect()]
     return found if len(found) <= limit else None
 
 
 def all_rows(config: Config, what: str) -> Rows:
     """The rows of a table that is compiled into expressions."""
-    rows = small_rows(config)
+    rows = small_rows(config, COMPILED_ROWS)
     if rows is None:
-        raise ValueError(f"{what}: more than {CONSTANT_ROWS} rows cannot be compiled into a plan")
+        raise ValueError(f"{what}: more than {COMPILED_ROWS} rows; handle some profiles at a time")
     return rows
 
 

@@ -187,3 +187,19 @@ def test_harmonize_has_no_exchange_and_any_partitioning_agrees(bodies, values_of
     done = harmonize(docs, **settings)
     assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
     assert values_of(done) == values_of(harmonize(docs.repartition(7, F.rand(1)), **settings))
+
+
+def test_a_value_shared_by_a_third_of_all_documents(spark, monkeypatch, values_of):
+    from docalign.sources.documents import table_to_documents
+
+    value = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.col("id").cast("string")))
+    docs = table_to_documents(spark.range(600).repartition(8, "id"), {"id": F.col("id")}, [("a", value), ("b", F.col("id"))])
+    rows = value_map({"a": {"hot": "H", "v1": None, "v2": ["x", "y"]}, "b": {str(i): i + 1 for i in range(0, 600, 2)}})
+    table = spark.createDataFrame(
+        rows,
+        "profile string, field string, legacy_key string, is_list boolean, options array<struct<kind:string,text:string>>",
+    )
+    wanted = values_of(standardize_values(docs, rows, body="metadata"))
+    monkeypatch.setattr(config, "CONSTANT_ROWS", 10)
+    assert values_of(standardize_values(docs, table, body="metadata", document_key=["id"])) == wanted
+    assert wanted[0] == {"a": "H", "b": 1} and wanted[1] == {"a": None, "b": 1} and wanted[2] == {"a": "v2", "b": 3}
