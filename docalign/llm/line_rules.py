@@ -25,20 +25,16 @@ SYMBOLS = "#*$%&|<>"
 class LineLimits:
     """A line is over the limit in a host if more than ``min_documents`` and more than
     ``share`` of the host's documents hold it. A document is depleted if the lines that
-    are not over the limit have fewer than ``min_words`` words or less than ``min_left``
-    of its words."""
+    are not over the limit have fewer than ``min_chars`` characters or less than ``min_left``
+    of its characters."""
 
     min_documents: int = 20
     share: float = 0.002
-    min_words: int = 10
+    min_chars: int = 50
     min_left: float = 0.2
     witness_left: float = 0.5
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def repeat_words(words: Column, width: int = 5) -> Column:
     """Words inside windows of ``width`` words that the text has twice or more.
 
@@ -47,19 +43,16 @@ def repeat_words(words: Column, width: int = 5) -> Column:
     words are the union of the intervals that begin at these starts.
     """
     n = F.size(words)
-    windows = F.transform(
-        F.sequence(F.lit(0), n - width),
-        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]),
-    )
+    windows = F.transform(F.sequence(F.lit(1), n - (width - 1)), lambda i: F.xxhash64(F.slice(words, i, width)))
 
     def covered(hashes: Column) -> Column:
-        ranked = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        ranked = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         # A field of a struct that is computed twice would be sorted twice: bind it by a lambda.
         return F.aggregate(
             F.array(ranked),
             F.lit(0),
             lambda _, s: F.aggregate(
-                F.array_sort(
+                F.sort_array(
                     F.filter(
                         F.transform(
                             s,
@@ -89,40 +82,41 @@ def text_measures(documents: DataFrame, text: str = "text") -> DataFrame:
     """Add ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``."""
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.ltrim(_without(x, SPACES[1:]))) > 0)
-    n_words = F.size(words).cast("long")
-    measures = {
-        "n_words": n_words,
-        "word_chars": F.length(_without(t, SPACES)).cast("long"),
-        "n_symbols": (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long"),
-        "n_dup_lines": F.aggregate(
-            F.array(lines), F.lit(0), lambda _, x: F.size(x) - F.size(F.array_distinct(x))
-        ).cast("long"),
-        "n_repeat_words": F.aggregate(F.array(words), F.lit(0), lambda _, w: repeat_words(w)).cast("long"),
-    }
-    measured = documents.withColumns(measures)
+    lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.trim(x, F.lit(SPACES))) > 0)
+    # One element bound by a lambda: the words are split once for all three measures.
+    by_words = F.transform(
+        F.array(words),
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            repeat_words(w).cast("long").alias("n_repeat_words"),
+        ),
+    )
+    by_lines = F.transform(F.array(lines), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
+    measured = (
+        documents.withColumns({"by_words": F.get(by_words, F.lit(0)), "n_dup_lines": F.get(by_lines, F.lit(0))})
+        .withColumn("n_symbols", F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long"))
+        .withColumns({c: F.col(f"by_words.{c}") for c in ("n_words", "word_chars", "n_repeat_words")})
+        .drop("by_words")
+    )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return measured.withColumn("base_failed", failed)
 
 
 def document_lines(documents: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """Rows ``doc_id, row, host, line, words, total`` for each distinct line of a document.
+    """Rows ``doc_id, row, host, line, chars, total`` for each distinct line of a document.
 
-    A line is normalized: A-Z lower, runs of white space one space, trimmed. Lines
-    without a word are none. ``total`` is the sum of ``words`` of the document's
-    distinct lines. Equal rows give one row.
+    A line is normalized by trimming white space and lower case. Lines without a word
+    are none. ``total`` is the sum of ``chars`` of the document's distinct lines. Equal
+    rows give one row.
     """
-    lower = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     clean = F.transform(
-        F.split(lower, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[\x20\x09-\x0D]+", " "))
+        F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.lower(F.trim(x, F.lit(SPACES)))
     )
     hashed = F.array_distinct(
         F.transform(
             F.filter(clean, lambda x: x != ""),
-            lambda x: F.struct(
-                F.xxhash64(x).alias("line"),
-                (F.length(x) - F.length(_without(x, " ")) + 1).alias("words"),
-            ),
+            lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("chars")),
         )
     )
     lined = documents.select(
@@ -130,19 +124,19 @@ def document_lines(documents: DataFrame, host: str = "source", text: str = "text
     )
     each = lined.select(
         "doc_id", "row", "host",
-        F.aggregate("lines", F.lit(0), lambda a, x: a + x["words"]).alias("total"),
+        F.aggregate("lines", F.lit(0), lambda a, x: a + x["chars"]).alias("total"),
         F.explode("lines").alias("x"),
     )
     return each.groupBy("doc_id", "row", "host", F.col("x.line").alias("line")).agg(
-        F.max("x.words").alias("words"), F.max("total").alias("total")
+        F.max("x.chars").alias("chars"), F.max("total").alias("total")
     )
 
 
 def depleted_documents(documents: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:
-    """Rows ``doc_id, row, words_left`` of documents that common lines leave too little of.
+    """Rows ``doc_id, row, chars_left`` of documents that common lines leave too little of.
 
     A line counts as common if enough *witnesses* hold it: documents of the host most of
-    whose words stand in other lines. Copies of one text share all their lines, so they
+    whose text stands in other lines. Copies of one text share all their lines, so they
     are no witnesses, and a large group of copies does not turn its own text into
     boilerplate.
     """
@@ -161,7 +155,7 @@ def depleted_documents(documents: DataFrame, limits: LineLimits = LineLimits(),
         return found.join(common, on).drop("common_host", "common_line")
 
     def in_common(found: DataFrame) -> DataFrame:
-        return found.groupBy("doc_id", "row").agg(F.sum("words").alias("common"), F.max("total").alias("total"))
+        return found.groupBy("doc_id", "row").agg(F.sum("chars").alias("common"), F.max("total").alias("total"))
 
     frequent = held(lines, over_limit(lines))
     witnesses = in_common(frequent).where(F.col("total") - F.col("common") >= F.col("total") * limits.witness_left)
@@ -169,10 +163,10 @@ def depleted_documents(documents: DataFrame, limits: LineLimits = LineLimits(),
     seen = frequent.join(
         witnesses, (F.col("row") == F.col("w_row")) & F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi"
     )
-    left = in_common(held(frequent, over_limit(seen))).withColumn("words_left", F.col("total") - F.col("common"))
+    left = in_common(held(frequent, over_limit(seen))).withColumn("chars_left", F.col("total") - F.col("common"))
     return left.where(
-        (F.col("words_left") < limits.min_words) | (F.col("words_left") < F.col("total") * limits.min_left)
-    ).select("doc_id", "row", F.col("words_left").cast("long").alias("words_left"))
+        (F.col("chars_left") < limits.min_chars) | (F.col("chars_left") < F.col("total") * limits.min_left)
+    ).select("doc_id", "row", F.col("chars_left").cast("long").alias("chars_left"))
 
 
 def line_rules(documents: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:

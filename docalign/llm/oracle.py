@@ -69,9 +69,8 @@ words AS (
 ), covered AS (
   SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, range(5) AS r(k) WHERE windows.n > 1 GROUP BY doc_id
 ), lines AS (
-  SELECT DISTINCT doc_id, source, line, len(string_split(line, ' ')) AS words FROM (
-    SELECT doc_id, source, unnest(list_transform(raw, lambda x: trim(regexp_replace(
-      translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')))) AS line
+  SELECT DISTINCT doc_id, source, line, length(line) AS chars FROM (
+    SELECT doc_id, source, unnest(list_transform(raw, lambda x: lower(trim(x, e' \t\n\x0b\x0c\r')))) AS line
     FROM words)
   WHERE line <> ''
 ), hosts AS (
@@ -82,9 +81,9 @@ words AS (
 ), held AS (
   SELECT l.* FROM lines AS l JOIN frequent AS f ON l.line = f.line AND l.source IS NOT DISTINCT FROM f.source
 ), totals AS (
-  SELECT doc_id, sum(words) AS total FROM lines GROUP BY doc_id
+  SELECT doc_id, sum(chars) AS total FROM lines GROUP BY doc_id
 ), witnesses AS (
-  SELECT doc_id FROM held JOIN totals USING (doc_id) GROUP BY doc_id, total HAVING total - sum(words) >= total * 0.5
+  SELECT doc_id FROM held JOIN totals USING (doc_id) GROUP BY doc_id, total HAVING total - sum(chars) >= total * 0.5
 ), common AS (
   SELECT h.source, line FROM held AS h JOIN hosts ON h.source IS NOT DISTINCT FROM hosts.source
   WHERE doc_id IN (SELECT doc_id FROM witnesses)
@@ -92,7 +91,7 @@ words AS (
 ), depleted AS (
   SELECT doc_id FROM held AS h JOIN common AS c ON h.line = c.line AND h.source IS NOT DISTINCT FROM c.source
   JOIN totals USING (doc_id)
-  GROUP BY doc_id, total HAVING total - sum(words) < 10 OR total - sum(words) < total * 0.2
+  GROUP BY doc_id, total HAVING total - sum(chars) < 50 OR total - sum(chars) < total * 0.2
 ), measured AS (
   SELECT doc_id, len(w) AS n_words,
          list_sum(list_transform(w, lambda x: length(x))) AS word_chars,
