@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docalign.llm import licenses, line_rules, mixing, topk
+from docalign.llm import licenses, line_rules, mixing, simhash, suffix_dedup, topk
 from docalign.llm.bpe import bpe_digests
 
 
@@ -28,10 +28,18 @@ def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(documents(spark, folder))
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(documents(spark, folder), _vocabulary("word_bpe_49k.json"))
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, folder))
+
+
 def op9_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.line_rules(documents(spark, folder))
 
@@ -40,7 +48,7 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(documents(spark, folder))
 
 
-ALL = [op1_mixing, op2_topk, op5_bpe, op9_line_rules, op10_licenses]
+ALL = [op1_mixing, op2_topk, op4_suffix_dedup, op5_bpe, op8_simhash, op9_line_rules, op10_licenses]
 
 
 def queries():
