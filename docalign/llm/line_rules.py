@@ -107,8 +107,7 @@ def document_lines(documents: DataFrame, host: str = "source", text: str = "text
     """Rows ``doc_id, row, host, line, chars, total`` for each distinct line of a document.
 
     A line is normalized by trimming white space and lower case. Lines without a word
-    are none. ``total`` is the sum of ``chars`` of the document's distinct lines. Equal
-    rows give one row.
+    are none. ``total`` is the sum of ``chars`` of the document's distinct lines.
     """
     clean = F.transform(
         F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.lower(F.trim(x, F.lit(SPACES)))
@@ -127,9 +126,7 @@ def document_lines(documents: DataFrame, host: str = "source", text: str = "text
         F.aggregate("lines", F.lit(0), lambda a, x: a + x["chars"]).alias("total"),
         F.explode("lines").alias("x"),
     )
-    return each.groupBy("doc_id", "row", "host", F.col("x.line").alias("line")).agg(
-        F.max("x.chars").alias("chars"), F.max("total").alias("total")
-    )
+    return each.select("doc_id", "row", "host", "x.line", "x.chars", "total")
 
 
 def depleted_documents(documents: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:
@@ -157,7 +154,11 @@ def depleted_documents(documents: DataFrame, limits: LineLimits = LineLimits(),
     def in_common(found: DataFrame) -> DataFrame:
         return found.groupBy("doc_id", "row").agg(F.sum("chars").alias("common"), F.max("total").alias("total"))
 
-    frequent = held(lines, over_limit(lines))
+    # Equal rows of the table are one document. They are counted apart at first, which finds
+    # too many lines but none too few, and merged among the few lines found.
+    found = held(lines, over_limit(lines))
+    found = found.groupBy("doc_id", "row", "host", "line").agg(F.max("chars").alias("chars"), F.max("total").alias("total"))
+    frequent = held(found, over_limit(found))
     witnesses = in_common(frequent).where(F.col("total") - F.col("common") >= F.col("total") * limits.witness_left)
     witnesses = witnesses.select(F.col("doc_id").alias("w_id"), F.col("row").alias("w_row"))
     seen = frequent.join(
