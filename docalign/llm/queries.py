@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docalign.llm import licenses, line_rules, mixing, simhash, suffix_dedup, topk
+from docalign.llm import html_text, licenses, line_rules, mixing, simhash, suffix_dedup, token_counts, token_files, topk
 from docalign.llm.bpe import bpe_digests
 
 
@@ -28,6 +28,10 @@ def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_file_digests(documents(spark, folder), _vocabulary("byte_bpe_50k.json"))
+
+
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(documents(spark, folder))
 
@@ -36,6 +40,16 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(documents(spark, folder), _vocabulary("word_bpe_49k.json"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = _vocabulary("word_bpe_49k.json")
+    return token_counts.document_token_counts(documents(spark, folder), vocabulary, end_id=49407)
+
+
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    return html_text.extract_text(pages, html_text.labelled_weights(pages))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
@@ -48,7 +62,10 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(documents(spark, folder))
 
 
-ALL = [op1_mixing, op2_topk, op4_suffix_dedup, op5_bpe, op8_simhash, op9_line_rules, op10_licenses]
+ALL = [
+    op1_mixing, op2_topk, op3_token_files, op4_suffix_dedup, op5_bpe, op6_token_counts, op7_html_text, op8_simhash,
+    op9_line_rules, op10_licenses,
+]
 
 
 def queries():

@@ -180,11 +180,11 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     found = simhash_components(rows.select(place.alias("doc_id"), "fp"), stash)
     kept = found.select(F.col("component_id.doc_id").alias("kept_id"), F.col("component_id.row").alias("kept_row"))
     columns = documents.columns
-    own = documents.withColumn("row_of", row_key("doc_id", *_others(documents), "text"))
+    own = documents.withColumn("_row_of_document", row_key("doc_id", *_others(documents), "text"))
     one = own.join(
-        kept.distinct(), (F.col("row_of") == F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi"
+        kept.distinct(), (F.col("_row_of_document") == F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi"
     )
-    return one.dropDuplicates(["doc_id", "row_of"]).select(*columns)
+    return one.dropDuplicates(["doc_id", "_row_of_document"]).select(*columns)
 
 
 def _others(documents: DataFrame) -> list[str]:
