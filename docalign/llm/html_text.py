@@ -163,18 +163,30 @@ def fit_weights(pages: Iterable[str]) -> dict[str, float]:
                 (inside if is_inside else outside)[kind] += n
     if not inside:
         return dict(DEFAULT_WEIGHTS)
-    kinds = set(inside) | set(outside) | set(DEFAULT_WEIGHTS)
+    kinds = set(inside) | set(outside)
     total_in, total_out = sum(inside.values()) + len(kinds), sum(outside.values()) + len(kinds)
-    made = {k: math.log((inside[k] + 1) / total_in) - math.log((outside[k] + 1) / total_out) for k in kinds}
+    ratio = {k: math.log((inside[k] + 1) / total_in) - math.log((outside[k] + 1) / total_out) for k in kinds}
     # The method's signs: a word never counts against a region, a tag never for it. A tag that
     # no labelled page has inside is not proof, so its score has a floor.
-    floor = DEFAULT_WEIGHTS[BREAK]
-    made = {k: max(min(v, 0.0), floor) for k, v in made.items()} | {WORD: max(made[WORD], 0.1), BREAK: floor}
-    return made
+    made = {k: max(min(v, 0.0), FLOOR) for k, v in ratio.items()}
+    # Running text holds inline tags, also where the labelled pages happen to have none.
+    made |= {k: 0.0 if k[1] == "/" else max(v, DEFAULT_WEIGHTS["<a"]) for k, v in made.items() if k.lstrip("</") in INLINE}
+    return made | {WORD: max(ratio.get(WORD, 0.0), 0.1), BREAK: DEFAULT_WEIGHTS[BREAK]}
 
 
 #: Scores where no page is labelled: a word is worth one, tags of lists and links cost more.
-DEFAULT_WEIGHTS = {WORD: 1.0, BREAK: -6.0, "<li": -3.0, "<a": -3.0, "<td": -2.0, "<ul": -3.0, "<div": -1.0, "</body": -3.0}
+#: A boilerplate element costs little, since its text is left out and articles hold some.
+DEFAULT_WEIGHTS = {WORD: 1.0, BREAK: -1.0, "<li": -3.0, "<a": -3.0, "<td": -2.0, "<ul": -3.0, "<div": -1.0, "</body": -3.0}
+#: Lowest score of a tag.
+FLOOR = -6.0
+#: Elements of running text: their tags are worth nothing where no labelled page has them.
+PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption br".split())
+
+
+def tag_score(kind: str, weights: dict[str, float]) -> float:
+    if kind in weights:
+        return weights[kind]
+    return 0.0 if kind.lstrip("</") in PROSE else min(weights.get("<div", -1.0), -0.5)
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -193,11 +205,10 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     """Blocks of the best region, each with single spaces, joined by newlines."""
     kinds, texts, scores = [], [], []
     word = weights[WORD]
-    other = min(weights.get("<div", -1.0), -0.5)
     for kind, text in tokens(page):
         kinds.append(kind)
         texts.append(text)
-        scores.append(word * len(read_words(text)) if kind == WORD else weights.get(kind, other))
+        scores.append(word * len(read_words(text)) if kind == WORD else tag_score(kind, weights))
     begin, end = best_region(scores)
     blocks: list[list[str]] = [[]]
     for i in range(begin, end):

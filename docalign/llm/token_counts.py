@@ -82,7 +82,7 @@ def write_flat_files(documents: DataFrame, folder: str, vocabulary: str, end_id:
 
 def file_blocks(spark: SparkSession, folder: str, pattern: str, width: int, block_ids: int) -> DataFrame:
     """Rows ``name, block, start, n``: the blocks of all files, in ids. File contents are not read."""
-    listed = spark.read.format("binaryFile").load(f"{folder}/{pattern}").select(
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.floor(F.col("length") / width).alias("ids")
     )
     cut = listed.where("ids > 0").select(
@@ -119,7 +119,7 @@ def count_tokens(
     stash = Stash(spark, "counts")
     found = stash.save(block_ends(file_blocks(spark, folder, pattern, width, block_ids), folder, end_id, width), "ends")
     blocks = found.select(
-        "name", "block", "start", "n", F.size("ends").alias("k"), (F.col("start") + F.element_at("ends", -1)).alias("last")
+        "name", "block", "start", "n", F.size("ends").alias("k"), (F.col("start") + F.try_element_at("ends", F.lit(-1))).alias("last")
     )
     before = W.partitionBy("name").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     carried = blocks.select(

@@ -190,7 +190,7 @@ def read_token_files(spark: SparkSession, folder: str, ranks: DataFrame) -> Data
     id_of = spark.sparkContext.broadcast(
         np.array([r.id for r in ranks.orderBy("rank").collect()], dtype="<u4").tobytes()
     )
-    content = spark.read.format("binaryFile").load(f"{folder}/tokens-*.svb")
+    content = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.svb").load(folder)
     place = F.regexp_extract("path", r"tokens-(\d+)-(\d+)\.svb$", 1), F.regexp_extract("path", r"-(\d+)\.svb$", 1)
     content = content.select(place[0].cast("int").alias("shard"), place[1].cast("int").alias("block"), "content")
 
