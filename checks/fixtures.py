@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from docalign.operators.config import field_map, rules, target_schema, value_map
 from docalign.sources.documents import table_to_documents
-from docalign.sources.files import spread
 
 BASE_URL = "https://example.org/browse/"
 HINTS = {"code": "Must be LC- and three digits, such as LC-001", "total": "Digits only"}
@@ -111,7 +110,7 @@ SCHEMA = target_schema(
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their customer's region and segment, as documents."""
     wide = (
-        spread(table(spark, folder, "orders"), "o_orderkey")
+        table(spark, folder, "orders").repartition("o_orderkey")
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -186,7 +185,7 @@ def event_texts(spark: SparkSession, folder: str) -> DataFrame:
     head = F.concat(
         F.lit('{"uuid":"'), F.col("event_id").cast("string"), F.lit('","group_name":"'), F.col("event_type")
     )
-    return spread(table(spark, folder, "events"), "event_id").select(
+    return table(spark, folder, "events").repartition("event_id").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("stem"),
         F.concat(F.lit("e"), F.col("event_id").cast("string"), F.lit(".json")).alias("source_file"),
@@ -226,7 +225,10 @@ def crosswalk_files(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("target,v0,v1"),
         F.concat(F.lit("size_"), (k % 4).cast("string"), F.lit(",size,p_size_"), (k % 9).cast("string")),
         F.concat(F.lit("  name , label_"), (k % 6).cast("string"), F.lit(" ,")),
-        F.concat(F.when(k % 3 == 0, F.lit("")).otherwise(F.lit("note_text")), F.lit(",,note_"), (k % 5).cast("string")),
+        F.concat(F.when(k % 5 < 2, F.lit("")).otherwise(F.lit("note_text")), F.lit(",,note_"), (k % 5).cast("string")),
+        F.lit(''),
+        F.concat(F.lit('disk,5" disk,3" lbl\r')),
+        F.lit('"two\nlines""",a"b,"c"d'),
         F.concat(F.lit('"kind, '), F.col("p_type"), F.lit('",type_of,"the ""type"""')),
         F.concat(F.lit("only_"), key),
     ]
@@ -351,6 +353,6 @@ def template_files(spark: SparkSession, folder: str) -> DataFrame:
     content = F.concat(
         F.lit('{"name":"t","children":['), first, F.lit(',{"type":"text-field"},"junk",{"name":"last"}]}')
     )
-    return spread(table(spark, folder, "customer"), "c_custkey").select(
+    return table(spark, folder, "customer").repartition("c_custkey").select(
         F.concat(F.lit("template-"), key).alias("profile"), content.alias("content")
     )

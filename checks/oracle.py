@@ -8,7 +8,13 @@ literal.
 from __future__ import annotations
 
 from checks.fixtures import BASE_URL, CHILD_TYPES, HINTS, VERSION_LABELS
-from docalign.operators.schema import TEMPLATE_TYPES
+
+# Template field types and the types they become.
+TYPES = {
+    "text-field": "text", "link-field": "text", "controlled-term-field": "categorical", "numeric-field": "number",
+    "radio-field": "categorical", "checkbox-field": "categorical", "date-field": "text", "datetime-field": "text",
+    "email-field": "text", "url-field": "text",
+}
 
 
 def _js(text: str) -> str:
@@ -204,11 +210,15 @@ cw AS (
   UNION ALL SELECT profile, k, 1, 2, 'size_' || (k % 4), 'p_size_' || (k % 9) FROM p
   UNION ALL SELECT profile, k, 2, 1, '  name ', ' label_' || (k % 6) || ' ' FROM p
   UNION ALL SELECT profile, k, 2, 2, '  name ', '' FROM p
-  UNION ALL SELECT profile, k, 3, 1, CASE WHEN k % 3 = 0 THEN '' ELSE 'note_text' END, '' FROM p
-  UNION ALL SELECT profile, k, 3, 2, CASE WHEN k % 3 = 0 THEN '' ELSE 'note_text' END, 'note_' || (k % 5) FROM p
-  UNION ALL SELECT profile, k, 4, 1, 'kind, ' || type, 'type_of' FROM p
-  UNION ALL SELECT profile, k, 4, 2, 'kind, ' || type, 'the "type"' FROM p
-  UNION ALL SELECT profile, k, 5, 1, 'only_' || k, NULL FROM p),
+  UNION ALL SELECT profile, k, 3, 1, CASE WHEN k % 5 < 2 THEN '' ELSE 'note_text' END, '' FROM p
+  UNION ALL SELECT profile, k, 3, 2, CASE WHEN k % 5 < 2 THEN '' ELSE 'note_text' END, 'note_' || (k % 5) FROM p
+  UNION ALL SELECT profile, k, 4, 1, 'disk', '5" disk' FROM p
+  UNION ALL SELECT profile, k, 4, 2, 'disk', '3" lbl' FROM p
+  UNION ALL SELECT profile, k, 5, 1, 'two' || chr(10) || 'lines"', 'a"b' FROM p
+  UNION ALL SELECT profile, k, 5, 2, 'two' || chr(10) || 'lines"', 'cd' FROM p
+  UNION ALL SELECT profile, k, 6, 1, 'kind, ' || type, 'type_of' FROM p
+  UNION ALL SELECT profile, k, 6, 2, 'kind, ' || type, 'the "type"' FROM p
+  UNION ALL SELECT profile, k, 7, 1, 'only_' || k, NULL FROM p),
 crosswalk AS (
   SELECT profile, 'cw/' || lpad(CAST(k AS VARCHAR), 12, '0') || '.csv' AS source_file, row_no, col_no,
     CASE col_no WHEN 1 THEN 'v0' ELSE 'v1' END AS schema_version, target, legacy FROM cw)"""
@@ -230,7 +240,7 @@ SELECT slug AS group_slug, f.field, dense_rank() OVER (PARTITION BY slug ORDER B
 
 
 def _templates() -> str:
-    kinds = ", ".join(f"({i}, '{t}', '{TEMPLATE_TYPES.get(t, 'text')}')" for i, t in enumerate(CHILD_TYPES))
+    kinds = ", ".join(f"({i}, '{t}', '{TYPES.get(t, 'text')}')" for i, t in enumerate(CHILD_TYPES))
     return f"""WITH kinds(i, source_type, type) AS (VALUES {kinds}),
 c AS (SELECT c_custkey AS k, c_mktsegment AS seg, source_type, type FROM customer JOIN kinds ON c_custkey % 11 = i)
 SELECT 'template-' || k AS profile, 0 AS pos, CASE WHEN k % 4 = 0 THEN 'k' || k ELSE 'n' || k END AS name,
@@ -256,7 +266,7 @@ def oracle_sql() -> dict[str, str]:
         return f"{name} AS (SELECT k, {agg.format(item, order)} AS t FROM {source} GROUP BY k)"
 
     member = _js("field") + " || ':' || v"
-    return {
+    texts = {
         "harmonize_orders": _cells(HARMONIZED),
         "harmonize_profiles": f"""WITH {BASE}, {_body('old', ORIGINAL)}, body AS (
             SELECT k, 'east' AS profile, 1 AS rank, 'level' AS field, {_js('pr')} AS v FROM b WHERE k % 3 = 0
@@ -432,3 +442,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'east', 0, 1, 1 FROM b WHERE k % 3 = 0 AND st <> 'O' GROUP BY 1
             UNION ALL SELECT 'west', 0, 1, 0 FROM b WHERE k % 3 = 1 AND seg = 'BUILDING' GROUP BY 1""",
     }
+    # The same maps looked up by join give the same results.
+    for name in ("rename_fields_orders", "standardize_values_orders", "unmapped_values", "harmonize_profiles"):
+        texts[f"{name}_joined"] = texts[name]
+    return texts

@@ -65,6 +65,32 @@ def harmonize_profiles(spark, folder):
     return _cells(done, "modified_metadata", "profile")
 
 
+def harmonize_profiles_joined(spark, folder):
+    """Maps by join; an id that is null and documents that are repeated change nothing."""
+    documents = X.profile_documents(spark, folder)
+    done = harmonize(
+        documents.withColumn("key", F.lit(None).cast("long")).unionByName(documents.withColumn("key", F.lit(1).cast("long"))),
+        X.PROFILE_RULES,
+        X.PROFILE_FIELD_MAP,
+        X.PROFILE_VALUE_MAP,
+        X.PROFILE_SCHEMA,
+        lookup="join",
+    )
+    return _cells(done.where("key is null"), "modified_metadata", "profile")
+
+
+def rename_fields_orders_joined(spark, folder):
+    return _cells(fields.rename_fields(_orders(spark, folder), X.FIELD_MAP, body="metadata", lookup="join"))
+
+
+def standardize_values_orders_joined(spark, folder):
+    return _cells(values.standardize_values(_renamed(spark, folder), X.VALUE_MAP, lookup="join"))
+
+
+def unmapped_values_joined(spark, folder):
+    return values.unmapped_values(_renamed(spark, folder), X.VALUE_MAP, lookup="join")
+
+
 def harmonize_without_phases(spark, folder):
     """No phase given: the body comes out as it went in."""
     return _cells(harmonize(_orders(spark, folder)))
@@ -334,7 +360,8 @@ ALL = [
     template_schema, unmapped_values, validate_values, schema_facets, nonpermissible, missing_required,
     missing_before_conform, regex_violations, merged_issues, nonstandard_values, quality_counts,
     group_summary, issue_rows, review_nonstandard, review_missing, review_pattern, choice_lists,
-    value_mapping_catalog, report_counts,
+    value_mapping_catalog, report_counts, harmonize_profiles_joined, rename_fields_orders_joined,
+    standardize_values_orders_joined, unmapped_values_joined,
 ]
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docalign.functions.patterns import translate
+
 # Fixed value: the characters Python's str.strip() removes. Java's Unicode \s
 # leaves out the four separators U+001C to U+001F.
 SPACE = r"[\s\x1c-\x1f]"
@@ -23,19 +23,13 @@ def strip(text: Column) -> Column:
 
 
 def java_pattern(pattern: str) -> str | None:
-    """A pattern written for Python, for ``rlike``; None when it is invalid."""
-    try:
-        re.compile(pattern)
-    except re.error:
-        return None
-    named = re.sub(r"\(\?P<(\w+)>", r"(?<\1>", pattern)
-    named = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", named)
-    return re.sub(r"(?<!\\)((?:\\\\)*)\\Z", r"\1\\z", named)
+    """A pattern written for Python, for ``rlike``; None when it cannot be checked."""
+    return translate(pattern)
 
 
 def matches_whole(text: Column, pattern: str) -> Column:
-    """True when a Java pattern covers ``text`` from first to last character."""
-    return text.rlike(rf"(?U)\A(?:{pattern})\z")
+    """True when a translated pattern covers ``text`` from first to last character."""
+    return text.rlike(rf"\A(?:{pattern})\z")
 
 
 def group_slug(group_name: Column, dataset_type: Column) -> Column:

@@ -1,8 +1,10 @@
 """Config tables as operators take them.
 
-Rows come as a list of dicts, or as a DataFrame of the same columns. A
-DataFrame is read on the driver only up to ``CONSTANT_ROWS`` rows; a field or
-value map with more stays a DataFrame and is joined.
+Rows come as a list of dicts, or as a DataFrame of the same columns. A field or
+value map is looked up as a constant of the plan (``lookup="constant"``) or by a
+join (``lookup="join"``). The caller chooses; without a choice a list is a
+constant and a DataFrame is joined. The size of a table changes nothing, and both
+ways give the same result: a key that is listed twice for a profile is an error.
 
 Every table has a ``profile`` column. A document follows the rows of its own
 profile; documents of a profile that the table does not name follow the rows
@@ -21,31 +23,44 @@ from pyspark.sql import functions as F
 from docalign.functions.cells import value_of
 from docalign.functions.lookup import constant_lookup
 
-# Largest lookup table that is folded into the plan as a constant; beyond it, a
-# join is faster than planning with so large a literal.
-CONSTANT_ROWS = 20_000
 # Largest table of rules or schema fields that is compiled into expressions.
 COMPILED_ROWS = 100_000
 
+DUPLICATE = "a profile lists a key twice"
+
 Rows = list[dict[str, Any]]
 Config = Union[Rows, DataFrame]
 
 
-def small_rows(config: Config, limit: int | None = None) -> Rows | None:
-    """The rows as dicts, or None for a DataFrame with more than the limit."""
+def constant_rows(config: Config) -> Rows:
+    """The rows as dicts on the driver, for a constant."""
     if not isinstance(config, DataFrame):
         return list(config)
-    limit = CONSTANT_ROWS if limit is None else limit
-    found = [r.asDict(recursive=True) for r in config.limit(limit + 1).collect()]
-    return found if len(found) <= limit else None
+    return [r.asDict(recursive=True) for r in config.collect()]
+
+
+def is_joined(config: Config, lookup: str | None) -> bool:
+    """Whether a map is looked up by a join; see above."""
+    if lookup not in (None, "constant", "join"):
+        raise ValueError(f"lookup is 'constant' or 'join', not {lookup!r}")
+    return isinstance(config, DataFrame) if lookup is None else lookup == "join"
+
+
+def joined_table(documents: DataFrame, config: Config, schema: str) -> DataFrame:
+    """A config table as a DataFrame, for a join with the documents."""
+    if isinstance(config, DataFrame):
+        return config
+    return documents.sparkSession.createDataFrame([dict(r) for r in config], schema)
 
 
 def all_rows(config: Config, what: str) -> Rows:
     """The rows of a table that is compiled into expressions."""
-    rows = small_rows(config, COMPILED_ROWS)
-    if rows is None:
+    if not isinstance(config, DataFrame):
+        return list(config)
+    found = [r.asDict(recursive=True) for r in config.limit(COMPILED_ROWS + 1).collect()]
+    if len(found) > COMPILED_ROWS:
         raise ValueError(f"{what}: more than {COMPILED_ROWS} rows; handle some profiles at a time")
-    return rows
+    return found
 
 
 def profiles_of(rows: Rows) -> list[str]:
@@ -66,11 +81,27 @@ def scoped_lookup(
 ) -> Callable[..., Column]:
     """Constant lookup of ``(profile, keys, value)`` entries by key columns."""
     if not profiles:
-        return constant_lookup(((k, v) for _, k, v in entries), value_type)
+        return constant_lookup(((k, v) for p, k, v in entries if p is None), value_type)
     find = constant_lookup((((p or "", *k), v) for p, k, v in entries), value_type)
     return lambda *keys: find(scope(profiles), *keys)
 
 
+def distinct_keys(rows: Rows, *keys: str) -> Rows:
+    """The rows, if no profile lists a key twice; else an error."""
+    seen = set()
+    for r in rows:
+        key = (r["profile"], *[r[k] for k in keys])
+        if key in seen:
+            raise ValueError(f"{DUPLICATE}: {key}")
+        seen.add(key)
+    return rows
+
+
+def named_profiles(documents: DataFrame, rows: Rows) -> list[str]:
+    """Profiles that a table names, for documents that have one."""
+    return profiles_of(rows) if "profile" in documents.columns else []
+
+
 def field_map(names: Mapping[str, str | None], profile: str | None = None) -> Rows:
     """Field map rows from a dict legacy -> target."""
     return [{"profile": profile, "legacy": k, "target": v} for k, v in names.items()]

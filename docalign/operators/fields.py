@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from docalign.functions import cells as C
 from docalign.functions.text import strip
-from docalign.operators.config import Config, Rows, profiles_of, scoped_lookup, small_rows
+from docalign.operators.config import (
+    Config, constant_rows, distinct_keys, is_joined, joined_table, named_profiles, scoped_lookup,
+)
 from docalign.operators.joins import attach_matches
 
 
@@ -65,7 +67,7 @@ def rename_fields(
     body: str = "modified_metadata",
     into: str = "modified_metadata",
     log: str = "field_mappings",
-    document_key: list[str] | None = None,
+    lookup: str | None = None,
 ) -> DataFrame:
     """Rename the fields of the body.
 
@@ -74,15 +76,22 @@ def rename_fields(
     overwrites what is there, in its place. So for every name the unmapped cell
     counts if there is one, else the first mapped one, at the place of the first
     of all: that needs no running state. ``log`` gets the renames made.
+
+    The map lists a legacy name once (see ``merge_field_maps``); ``lookup`` is
+    "constant" or "join", see ``operators.config``.
     """
-    rows = small_rows(field_map)
-    if rows is None:
-        documents, targets = attach_matches(
-            documents, field_map, body, {"legacy": lambda c: c["field"]}, "target", document_key
-        )
+    if is_joined(field_map, lookup):
+        table = joined_table(documents, field_map, "profile string, legacy string, target string")
+        documents, targets = attach_matches(documents, table, body, {"legacy": lambda c: c["field"]}, "target")
         entries = F.zip_with(F.col(body), targets, _entry)
     else:
-        find = _target_lookup(rows)
+        rows = distinct_keys(constant_rows(field_map), "legacy")
+        find = scoped_lookup(
+            # A null target is no mapping, but its row names the profile.
+            ((r["profile"], (r["legacy"],), r["target"]) for r in rows if r["target"] is not None),
+            "string",
+            named_profiles(documents, rows),
+        )
         entries = F.transform(F.col(body), lambda c: _entry(c, find(c["field"])))
     renamed = F.col("_renamed")
     clear = F.size(F.array_distinct(F.transform(renamed, _key))) == F.size(renamed)
@@ -99,15 +108,6 @@ def rename_fields(
     )
 
 
-def _target_lookup(rows: Rows):
-    """Function of a legacy name to its target; a null target is no mapping."""
-    return scoped_lookup(
-        ((r["profile"], (r["legacy"],), r["target"]) for r in rows if r["target"] is not None),
-        "string",
-        profiles_of(rows),
-    )
-
-
 def _entry(cell: Column, target: Column) -> Column:
     """A cell with the target of its field, null for none."""
     return F.struct(

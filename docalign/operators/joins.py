@@ -1,4 +1,4 @@
-"""Lookups in config tables too large for a constant."""
+"""Lookups in config tables by join."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docalign.functions.rows import unfold
+from docalign.operators.config import DUPLICATE
 
 
 def attach_matches(
@@ -16,45 +17,54 @@ def attach_matches(
     body: str,
     keys: dict[str, Callable[[Column], Column]],
     value: str,
-    document_key: list[str] | None,
 ) -> tuple[DataFrame, Column]:
     """Left join every cell of ``body`` with ``table`` and bring the hits home.
 
-    ``keys`` gives, per key column of the table, the value of a cell. The result
-    is the documents with a column of hits aligned with the cells, and that
-    column. ``table`` has one row per key (and profile, where not null).
-    ``document_key`` must be unique per document.
+    ``keys`` gives, per key column of the table, the value of a cell. The result is
+    the documents with a column of hits aligned with the cells, and that column. Rows
+    of the table without a key name their profile, but match nothing.
 
-    No side is broadcast by hint. A cell value shared by very many documents
-    skews the first join on its document side, which adaptive execution splits;
-    the two later exchanges are on the document key.
+    What a cell hits depends on the profile, the field and the text only. So a document
+    is found again by a hash of its profile and body: equal bodies have equal hits, and
+    no column needs to be unique. The hash has 128 bits.
+
+    No side is broadcast by hint. A cell value or a body shared by very many documents
+    skews a join on its document side, which adaptive execution splits; hits of equal
+    bodies are merged before the exchange.
     """
-    if document_key is None:
-        raise ValueError("a table this large needs document_key, the columns that name a document")
     out = f"_match_{body}"
-    kept = [*document_key, *(["profile"] if "profile" in documents.columns else [])]
-    cells = unfold(documents, list(dict.fromkeys(kept)), body, "_cell", "_pos").select(
-        "*", *[fn(F.col("_cell")).alias(k) for k, fn in keys.items()]
-    )
-    if "profile" in documents.columns:
-        cells, table = with_scope(cells, table)
-        on = ["_scope", *keys]
-    else:
-        table, on = table.where(F.col("profile").isNull()), list(keys)
-    found = cells.join(table.select(*on, F.col(value).alias("_value")), on)
-    # A group is one document, so it is never larger than its own body.
-    hits = found.groupBy(*document_key).agg(
-        F.map_from_entries(F.collect_list(F.struct("_pos", "_value"))).alias("_found")
+    scoped, table = with_scope(documents, table)
+    scoped = scoped.withColumn("_h1", F.xxhash64("_scope", body)).withColumn("_h2", F.xxhash64(body, "_scope"))
+    usable = table
+    for k in keys:
+        usable = usable.where(F.col(k).isNotNull())
+    # One row per key; a second one is an error, as in a constant.
+    usable = usable.groupBy("_scope", *keys).agg(F.any_value(value).alias("_value"), F.count("*").alias("_n"))
+    problem = F.raise_error(F.concat_ws(" ", F.lit(f"{DUPLICATE}:"), "_scope", *keys))
+    usable = usable.withColumn("_value", F.when(F.col("_n") > 1, problem).otherwise(F.col("_value"))).drop("_n")
+    cells = unfold(scoped, ["_h1", "_h2", "_scope"], body, "_cell", "_pos").select(
+        "_h1", "_h2", "_scope", "_pos", *[fn(F.col("_cell")).alias(k) for k, fn in keys.items()]
     )
-    aligned = F.transform(
-        F.col(body), lambda c, i: F.try_element_at(F.col("_found"), i)
+    found = cells.join(usable, ["_scope", *keys])
+    # A group is one body, so it is never larger than its own cells.
+    hits = found.groupBy("_h1", "_h2").agg(
+        F.map_from_entries(F.collect_set(F.struct("_pos", "_value"))).alias("_found")
     )
-    with_hits = documents.join(hits, document_key, "left").withColumn(out, aligned)
-    return with_hits.drop("_found"), F.col(out)
+    aligned = F.transform(F.col(body), lambda c, i: F.try_element_at(F.col("_found"), i))
+    with_hits = scoped.join(hits, ["_h1", "_h2"], "left").withColumn(out, aligned)
+    return with_hits.drop("_found", "_h1", "_h2", "_scope"), F.col(out)
 
 
 def with_scope(rows: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with ``_scope``: the part of the table that a row follows."""
+    """Both sides with ``_scope``: the part of the table that a row follows, '' for the shared one.
+
+    ``rows`` are documents, or counts by profile, not cells: the join below has one row
+    per profile that the table names.
+    """
+    scoped_table = table.withColumn("_scope", F.coalesce("profile", F.lit(""))).drop("profile")
+    if "profile" not in rows.columns:
+        shared = table.where(F.col("profile").isNull()).withColumn("_scope", F.lit("")).drop("profile")
+        return rows.withColumn("_scope", F.lit("")), shared
     named = table.where(F.col("profile").isNotNull()).select("profile", F.col("profile").alias("_scope")).distinct()
     scoped = rows.join(named, "profile", "left").withColumn("_scope", F.coalesce("_scope", F.lit("")))
-    return scoped, table.withColumn("_scope", F.coalesce("profile", F.lit(""))).drop("profile")
+    return scoped, scoped_table

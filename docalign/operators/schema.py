@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import sys
+import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,8 +123,9 @@ def _permissible(x: Column) -> Column:
 
 def _integer_text(digits: Column) -> Column:
     """Digits without leading zeros; digits of other scripts become ASCII."""
-    scripts = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹०१२३४५६७८९０１２３４５６７８９"
-    ascii_digits = F.translate(digits, scripts, "0123456789" * 4)
+    # Every script's digits are ten code points in a row, as Python counts digits.
+    numbers = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
+    ascii_digits = F.translate(digits, "".join(numbers), "".join(str(unicodedata.decimal(n)) for n in numbers))
     return F.regexp_replace(ascii_digits, r"\A0+(?=.)", "")
 
 

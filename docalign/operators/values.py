@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from docalign.functions import cells as C
 from docalign.functions.rows import unfold
-from docalign.operators.config import Config, Rows, profiles_of, scoped_lookup, small_rows
+from docalign.operators.config import (
+    Config, Rows, constant_rows, distinct_keys, is_joined, joined_table, named_profiles, scoped_lookup,
+)
 from docalign.operators.joins import attach_matches, with_scope
 
+MAP_ROW = f"profile string, field string, legacy_key string, is_list boolean, options array<{C.VALUE}>"
 TARGET = f"struct<is_list:boolean,options:array<{C.VALUE}>>"
 
 
@@ -43,18 +46,25 @@ def normalize_value_map(entries: DataFrame) -> DataFrame:
         .groupBy("profile", "field", F.col("c.field").alias("legacy_key"))
         .agg(F.max_by(F.struct("c.kind", "c.text"), "place").alias("target"), F.max("place").alias("place"))
     )
-    left, right = fields.alias("f"), pairs.alias("p")
-    live = F.col("f.replaced_at").isNull() | (F.col("p.place") >= F.col("f.replaced_at"))
+    # The fields are the small side and the right one: a field with millions of keys
+    # is split on the left. Fields without a live key follow by a union.
+    left, right = pairs.alias("p"), fields.alias("f")
     same = (F.col("f.profile").eqNullSafe(F.col("p.profile"))) & (F.col("f.field") == F.col("p.field"))
+    live = F.col("f.replaced_at").isNull() | (F.col("p.place") >= F.col("f.replaced_at"))
     is_list = F.coalesce(F.col("p.target.kind") == "array", F.lit(False))
-    options = (
-        F.when(F.col("p.legacy_key").isNull(), F.array().cast(f"array<{C.VALUE}>"))
-        .when(is_list, C.parse_values(F.col("p.target.text")))
-        .otherwise(F.array(F.col("p.target")))
+    options = F.when(is_list, C.parse_values(F.col("p.target.text"))).otherwise(F.array(F.col("p.target")))
+    found = left.join(right, same & live).select(
+        "p.profile", "p.field", "p.legacy_key", is_list.alias("is_list"), options.alias("options")
     )
-    return left.join(right, same & live, "left").select(
-        "f.profile", "f.field", "p.legacy_key", is_list.alias("is_list"), options.alias("options")
+    # The place of the last key says whether any key is live: no second pass over the keys.
+    last = pairs.groupBy("profile", "field").agg(F.max("place").alias("last")).alias("l")
+    same = (F.col("f.profile").eqNullSafe(F.col("l.profile"))) & (F.col("f.field") == F.col("l.field"))
+    none_live = F.col("l.last").isNull() | (F.col("l.last") < F.col("f.replaced_at"))
+    empty = right.join(last, same, "left").where(none_live).select(
+        "f.profile", "f.field", F.lit(None).cast("string").alias("legacy_key"), F.lit(False).alias("is_list"),
+        F.array().cast(f"array<{C.VALUE}>").alias("options"),
     )
+    return found.unionByName(empty)
 
 
 def standardize_values(
@@ -64,26 +74,24 @@ def standardize_values(
     into: str = "modified_metadata",
     log: str = "value_mappings",
     ambiguous_log: str = "ambiguous_mappings",
-    document_key: list[str] | None = None,
+    lookup: str | None = None,
 ) -> DataFrame:
     """Replace values that the map knows by field and text.
 
     A null never matches. One target (also a list of one) replaces the value, an
     empty list does so as ``[]``; several targets leave it and are logged for a
-    decision.
+    decision. A field with an empty map counts for its profile. ``lookup`` is
+    "constant" or "join", see ``operators.config``.
     """
-    rows = small_rows(value_map)
-    if rows is None:
-        table = value_map.where(F.col("legacy_key").isNotNull()).withColumn(
-            "target", F.struct("is_list", "options")
-        )
+    if is_joined(value_map, lookup):
+        table = joined_table(documents, value_map, MAP_ROW).withColumn("target", F.struct("is_list", "options"))
         keys = {"field": lambda c: c["field"], "legacy_key": _key}
-        documents, hits = attach_matches(documents, table, body, keys, "target", document_key)
+        documents, hits = attach_matches(documents, table, body, keys, "target")
         matches = F.zip_with(
             F.col(body), hits, lambda c, h: F.struct(c.alias("cell"), _key(c).alias("old"), h.alias("hit"))
         )
     else:
-        find = _value_lookup(rows)
+        find = _value_lookup(documents, constant_rows(value_map))
         with_keys = F.transform(F.col(body), lambda c: F.struct(c.alias("cell"), _key(c).alias("old")))
         matches = F.transform(
             with_keys,
@@ -137,8 +145,9 @@ def _new_cell(m: Column) -> Column:
     ).otherwise(C.cell(m["cell"]["field"], only["kind"], only["text"]))
 
 
-def _value_lookup(rows: Rows):
+def _value_lookup(documents: DataFrame, rows: Rows):
     """Function of (field, text) to the target."""
+    distinct_keys([r for r in rows if r["legacy_key"] is not None], "field", "legacy_key")
     return scoped_lookup(
         (
             (r["profile"], (r["field"], r["legacy_key"]), {"is_list": r["is_list"], "options": r["options"]})
@@ -146,7 +155,7 @@ def _value_lookup(rows: Rows):
             if r["legacy_key"] is not None
         ),
         TARGET,
-        profiles_of(rows),
+        named_profiles(documents, rows),
     )
 
 
@@ -154,6 +163,7 @@ def unmapped_values(
     documents: DataFrame,
     value_map: Config,
     body: str = "modified_metadata",
+    lookup: str | None = None,
 ) -> DataFrame:
     """How often each value occurs that its field's map does not cover.
 
@@ -165,12 +175,14 @@ def unmapped_values(
     texts = unfold(documents, profile, body, "c").select(
         *profile, F.col("c.field").alias("field"), C.python_text(F.col("c.kind"), F.col("c.text")).alias("value")
     ).where(F.col("value").isNotNull())
-    rows = small_rows(value_map)
-    if rows is None:
+    if is_joined(value_map, lookup):
         counted = texts.groupBy(*profile, "field", "value").agg(F.count("*").alias("n"))
-        return _not_covered(counted, value_map, profile)
-    find = _value_lookup(rows)
-    has_map = scoped_lookup(((r["profile"], (r["field"],), True) for r in rows), "boolean", profiles_of(rows))
+        return _not_covered(counted, joined_table(documents, value_map, MAP_ROW))
+    rows = constant_rows(value_map)
+    find = _value_lookup(documents, rows)
+    has_map = scoped_lookup(
+        ((r["profile"], (r["field"],), True) for r in rows), "boolean", named_profiles(documents, rows)
+    )
     return (
         texts.where(
             F.coalesce(has_map(F.col("field")), F.lit(False))
@@ -181,18 +193,13 @@ def unmapped_values(
     )
 
 
-def _not_covered(counted: DataFrame, value_map: DataFrame, profile: list[str]) -> DataFrame:
-    """Anti join for maps too large for a constant; counts come first."""
-    if not profile:
-        value_map = value_map.where(F.col("profile").isNull()).drop("profile")
-        on = []
-    else:
-        counted, value_map = with_scope(counted, value_map)
-        on = ["_scope"]
-    fields = value_map.select(*on, "field").distinct()
-    keys = value_map.where(F.col("legacy_key").isNotNull()).select(*on, "field", F.col("legacy_key").alias("value"))
+def _not_covered(counted: DataFrame, value_map: DataFrame) -> DataFrame:
+    """Counts of values whose field has a map, but not for them."""
+    counted, value_map = with_scope(counted, value_map)
+    fields = value_map.select("_scope", "field").distinct()
+    keys = value_map.where(F.col("legacy_key").isNotNull()).select("_scope", "field", F.col("legacy_key").alias("value"))
     return (
-        counted.join(fields, [*on, "field"], "left_semi")
-        .join(keys, [*on, "field", "value"], "left_anti")
+        counted.join(fields, ["_scope", "field"], "left_semi")
+        .join(keys, ["_scope", "field", "value"], "left_anti")
         .drop("_scope")
     )

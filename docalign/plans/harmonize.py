@@ -28,21 +28,22 @@ def harmonize(
     field_map: Config | None = None,
     value_map: Config | None = None,
     schema: Config | None = None,
-    document_key: list[str] | None = None,
+    lookup: str | None = None,
 ) -> DataFrame:
     """Update, rename, standardize and conform, in this order.
 
     What is not given is skipped. The result has ``modified_metadata`` and the
     log columns next to the original ``metadata``. Documents stay in their
-    partitions: there is no exchange, unless a map is too large for a constant.
+    partitions: there is no exchange, unless a map is joined (``lookup``, see
+    ``operators.config``).
     """
     result = documents.withColumn("modified_metadata", F.col("metadata"))
     if rules is not None:
         result = apply_rules(result, rules)
     if field_map is not None:
-        result = rename_fields(result, field_map, document_key=document_key)
+        result = rename_fields(result, field_map, lookup=lookup)
     if value_map is not None:
-        result = standardize_values(result, value_map, document_key=document_key)
+        result = standardize_values(result, value_map, lookup=lookup)
     if schema is not None:
         result = conform_to_schema(result, schema)
     for name, log_type in LOG_TYPES.items():

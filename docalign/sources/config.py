@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docalign.functions import cells as C
 from docalign.functions.rows import rows_where, unfold
+from docalign.operators.fields import merge_field_maps
 from docalign.operators.values import normalize_value_map
 from docalign.sources.files import scan_text
 
@@ -22,6 +23,16 @@ def _checked(array: Column, ok: Column, message: str) -> Column:
     return F.when(ok, array).otherwise(F.raise_error(text))
 
 
+def _array_text() -> Column:
+    """The content if it is one JSON array and nothing else, else null.
+
+    As the only member of an object it goes through the strict parser of documents.
+    """
+    members = C.parse_cells(F.concat(F.lit('{"x":'), F.col("content"), F.lit("}")))
+    only = F.get(members, F.lit(0))
+    return F.when((F.size(members) == 1) & (only["field"] == "x") & (only["kind"] == "array"), only["text"])
+
+
 # --- crosswalks ---------------------------------------------------------------
 
 
@@ -37,14 +48,18 @@ def crosswalk_cells(files: DataFrame) -> DataFrame:
     name in one older schema version. Rows may be ragged; numbering starts at 1
     and leaves out the header. Cells are kept as they are, blanks included.
     """
-    line = r'(?:"(?:[^"]++|"")*+"|[^"\r\n])++'
-    item = r',((?:"(?:[^"]++|"")*+"|[^,"]++)*+)'
+    # A quote opens a quoted field at the start of a field only; what stands behind the
+    # closing quote belongs to the field as it is. Blank lines are no rows.
+    field = r'(?:"(?:[^"]++|"")*+(?:"[^,\r\n]*+|\z)|[^",\r\n][^,\r\n]*+|)'
+    line = rf"{field}(?:,{field})*+"
+    item = rf",({field})"
+    quoted = r'(?s)\A"((?:[^"]++|"")*+)"?(.*)\z'
 
     def unquoted(text: Column) -> Column:
-        inner = F.regexp_replace(text, r'(?s)\A"(.*)"\z', "$1")
-        return F.when(text.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(text)
+        inner = F.replace(F.regexp_extract(text, quoted, 1), F.lit('""'), F.lit('"'))
+        return F.when(text.startswith('"'), F.concat(inner, F.regexp_extract(text, quoted, 2))).otherwise(text)
 
-    lines = F.regexp_extract_all("content", F.lit(line), F.lit(0))
+    lines = F.filter(F.regexp_extract_all("content", F.lit(line), F.lit(0)), lambda text: text != "")
     rows = F.transform(
         lines,
         lambda text: F.transform(
@@ -91,8 +106,9 @@ def read_field_map(spark: SparkSession, path: str, profile: str | None = None) -
 
 
 def read_field_maps(spark: SparkSession, path: str, profile: str | None = None) -> DataFrame:
-    """All field map files of a folder, before ``merge_field_maps``."""
-    return field_map_entries(scan_text(spark.read, path, "*.json", profile=profile))
+    """All field map files of a folder as one map; the first mapping of a name wins."""
+    entries = field_map_entries(scan_text(spark.read, path, "*.json", profile=profile))
+    return merge_field_maps(entries).select("profile", "legacy", "target")
 
 
 def field_map_entries(files: DataFrame) -> DataFrame:
@@ -154,15 +170,14 @@ def rule_entries(files: DataFrame) -> DataFrame:
     Each file holds an array of rules. They apply in the order of ``part``,
     ``source_file`` and ``pos``.
     """
-    listed = F.from_json("content", "array<struct<when:string,then:string>>")
+    listed = F.from_json(_array_text(), "array<struct<when:string,then:string>>")
     parsed = files.select(
         "profile",
         "source_file",
         (F.col("part") if "part" in files.columns else F.lit(0)).alias("part"),
         listed.alias("rules"),
-        "content",
     )
-    is_list = F.col("rules").isNotNull() & F.ltrim("content").startswith("[")
+    is_list = F.col("rules").isNotNull()
     found = _checked(F.col("rules"), is_list, "a rule file must hold a JSON array")
     return unfold(parsed, ["profile", "part", "source_file"], found, "r", "pos").select("profile", "part", "source_file", "pos", F.col("r.when").alias("when"), F.col("r.then").alias("then"))
 
@@ -184,8 +199,8 @@ def schema_entries(files: DataFrame) -> DataFrame:
     left out; a repeated name keeps its first place and its last definition.
     ``required_strict`` is true only for a literal ``true``.
     """
-    parsed = files.select("profile", "source_file", F.from_json("content", "array<string>").alias("items"), "content")
-    is_list = F.col("items").isNotNull() & F.ltrim("content").startswith("[")
+    parsed = files.select("profile", "source_file", F.from_json(_array_text(), "array<string>").alias("items"))
+    is_list = F.col("items").isNotNull()
     found = _checked(F.col("items"), is_list, "a target schema must be a JSON array")
     cells = unfold(parsed, ["profile", "source_file"], found, "item", "pos").select(
         "profile", "source_file", "pos", C.parse_cells(F.col("item")).alias("c")

@@ -56,7 +56,7 @@ def parse_documents(texts: DataFrame, id_field: str = "record_id") -> DataFrame:
     error = (
         F.when(F.col("_top").isNotNull() & F.col("metadata").isNotNull(), F.lit(None))
         .when(F.col("_top").isNotNull(), F.lit("metadata is not a JSON object"))
-        .when(F.ltrim("content").startswith("["), F.lit("input must contain a JSON object"))
+        .when(_one_value(F.col("content")), F.lit("input must contain a JSON object"))
         .otherwise(F.lit("invalid JSON"))
     )
     heads = [
@@ -71,6 +71,11 @@ def parse_documents(texts: DataFrame, id_field: str = "record_id") -> DataFrame:
     )
 
 
+def _one_value(text: Column) -> Column:
+    """Whether a text is one JSON value, of any kind, and nothing else."""
+    return F.coalesce(F.size(C.parse_cells(F.concat(F.lit('{"x":'), text, F.lit("}")))) == 1, F.lit(False))
+
+
 def split_valid(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good documents, and one outcome row per broken one.
 

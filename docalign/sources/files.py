@@ -32,13 +32,3 @@ def scan_text(
         F.col("value").alias("content"),
     )
 
-
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Give the tasks of a scan of few files to all cores, by a hash of ``key``.
-
-    A file that cannot be split is one task, and the expressions on documents
-    take far longer than the scan. With as many files as cores nothing happens.
-    ``key`` should be close to unique.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, key)

@@ -103,7 +103,7 @@ def test_crosswalk(spark, tmp_path):
 
 def test_field_maps(spark, tmp_path):
     _write(tmp_path, {"1.json": {"a": "x", "b": None}, "2.json": {"a": "y", "b": "z", "c": "w"}})
-    merged = merge_field_maps(read_field_maps(spark, str(tmp_path)))
+    merged = read_field_maps(spark, str(tmp_path))
     assert {r.legacy: r.target for r in merged.collect()} == {"a": "x", "b": None, "c": "w"}
     one = read_field_map(spark, str(tmp_path / "2.json"))
     assert {r.legacy: r.target for r in one.collect()} == {"a": "y", "b": "z", "c": "w"}

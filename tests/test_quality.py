@@ -135,3 +135,37 @@ def test_reports(bodies, spark):
     labels = {(r.col_no, r.version_label) for r in field_mapping_matrix(crosswalk, {"v0": "Version 0"}).collect()}
     assert labels == {(1, "Version 0"), (2, "v1")}
     assert {tuple(r) for r in rule_coverage(docs, listed).collect()} == {("east", 1, "g", 3), ("east", 2, "g", 1)}
+
+
+PATTERNS = [
+    "a{,3}", "[[]x", "a{x", "x(?#c)", ".+", r"\s", "[a&&b]", r"\w", r"\d+", r"\S+", r"\W", r"\D", "[^a]", r"[\w-]+", "(?i)straße",
+    "a|b", "(a|b)*c", "a+?b", "a*+b", "(?>a+)b", r"(a)\1", r"(?P<q>a)(?P=q)\Z", "^a$", r"\Aa\Z", r"a\b.b", "(?s).+", "(?m)^a$",
+    "(?=a)a", "(?!a)b", "(?<=a)b", "a(?<!b)c", "(?:ab)?", "[a-c]{2}", r"\x41", r"\u00e9", "[]a]", r"[\]\[]", "{}", "a{1", "}", "[^\\n]+",
+    r"LC-\d{3}", r"\d{4}-\d{2}-\d{2}", "(?a:\\w+)", "x*", "", "[[a]", r"\.", "#", " ", "a{2}{3}", "(?i:A)b", "[A-z]", "é",
+]
+TEXTS = [
+    "", "a", "b", "ab", "aa", "aaa", "aaaa", "a{,3}", "[x", "a{x", "x", "a\rb", "\x1c", "&", "a&", "\u0301", "é", "É", "١٢", "²", "STRASSE",
+    "straße", "STRAßE", "c", "abc", "aab", "a\n", "a\nb", "ac", "cc", "A", "]", "[", "{}", "a{1", "}", "LC-001", "LC-001\n", "2020-01-02", "_", "-",
+    "\u2028", "\x85", "a b", "😀", "[a", ".", "#", " ", "aaaaaa", "Ab", "^", "\n",
+]
+
+
+def test_patterns_match_as_in_python(spark):
+    import re
+
+    texts = spark.createDataFrame([(t,) for t in TEXTS], "t string").coalesce(1)
+    for pattern in PATTERNS:
+        printed = java_pattern(pattern)
+        try:
+            wanted = [bool(re.fullmatch(pattern, t)) for t in TEXTS]
+        except re.error:
+            assert printed is None
+            continue
+        assert printed is not None, pattern
+        got = [r.m for r in texts.select(matches_whole(F.col("t"), printed).alias("m")).collect()]
+        assert [(t, g) for t, g in zip(TEXTS, got)] == [(t, w) for t, w in zip(TEXTS, wanted)], pattern
+
+
+def test_patterns_without_a_counterpart_are_not_checked(spark):
+    for pattern in ["(a)?(?(1)b|c)", "(", "(?<=a+)b"]:
+        assert java_pattern(pattern) is None

@@ -5,7 +5,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-import docalign.operators.config as config
 from docalign.operators.config import field_map, target_schema, value_map
 from docalign.operators.fields import rename_fields
 from docalign.operators.schema import attach_schema_facets, conform_to_schema, validate_values
@@ -76,25 +75,38 @@ def test_standardize(bodies, values_of):
     ]
 
 
-def test_large_maps_are_joined_with_the_same_result(bodies, values_of, spark, monkeypatch):
+MAP_SCHEMA = "profile string, field string, legacy_key string, is_list boolean, options array<struct<kind:string,text:string>>"
+
+
+def test_maps_by_constant_and_by_join_give_the_same_result(bodies, values_of, spark):
     names = {"a": "t", "b": "t", "p": "f"}
-    items = [{"a": 1, "b": 2, "t": 3}, {"p": "18", "g": "many"}, {"p": True}, {}, {"q": None, "g": "no"}]
-    schema = "profile string, legacy string, target string"
-    fields = spark.createDataFrame([(None, k, v) for k, v in names.items()], schema)
-    values = spark.createDataFrame(
-        value_map(VALUES),
-        "profile string, field string, legacy_key string, is_list boolean, options array<struct<kind:string,text:string>>",
-    )
-    small = harmonize(bodies(*items), field_map=fields, value_map=values)
-    wanted = values_of(small)
-    gaps = {(r.field, r.value, r.n) for r in unmapped_values(bodies({"f": "u", "e": 1, "z": 2}), values, "metadata").collect()}
-    monkeypatch.setattr(config, "CONSTANT_ROWS", 1)
-    large = harmonize(bodies(*items), field_map=fields, value_map=values, document_key=["id"])
-    assert values_of(large) == wanted
-    found = unmapped_values(bodies({"f": "u", "e": 1, "z": 2}), values, "metadata").collect()
-    assert {(r.field, r.value, r.n) for r in found} == gaps == {("f", "u", 1), ("e", "1", 1)}
+    items = [{"a": 1, "b": 2, "t": 3}, {"p": "18", "g": "many"}, {"p": True}, {}, {"q": None, "g": "no"}, {"p": True}]
+    fields = spark.createDataFrame([(None, k, v) for k, v in names.items()], "profile string, legacy string, target string")
+    values = spark.createDataFrame(value_map(VALUES), MAP_SCHEMA)
+    wanted = values_of(harmonize(bodies(*items), field_map=fields, value_map=values, lookup="constant"))
+    assert values_of(harmonize(bodies(*items), field_map=fields, value_map=values)) == wanted
+    assert values_of(harmonize(bodies(*items), field_map=field_map(names), value_map=value_map(VALUES), lookup="join")) == wanted
+    for lookup in ("constant", "join"):
+        found = unmapped_values(bodies({"f": "u", "e": 1, "z": 2}), values, "metadata", lookup).collect()
+        assert {(r.field, r.value, r.n) for r in found} == {("f", "u", 1), ("e", "1", 1)}
     with pytest.raises(ValueError):
-        harmonize(bodies(*items), field_map=fields)
+        harmonize(bodies(*items), field_map=fields, lookup="large")
+
+
+@pytest.mark.parametrize("lookup", ["constant", "join"])
+def test_map_rules_hold_for_both_lookups(bodies, values_of, lookup):
+    # A profile whose map is empty follows its own map, not the shared one.
+    rows = value_map({"f": {"a": "A"}}) + value_map({"f": {}}, profile="own")
+    docs = bodies({"f": "a"}, profile="own").unionByName(bodies({"f": "a"}, {"f": "a"}, profile="other"))
+    got = [r["f"] for r in values_of(standardize_values(docs, rows, body="metadata", lookup=lookup))]
+    assert sorted(got) == ["A", "A", "a"]
+    # Documents without a profile follow the shared part.
+    assert values_of(standardize_values(docs.drop("profile"), rows, body="metadata", lookup=lookup))[0] == {"f": "A"}
+    # A key that is listed twice is an error.
+    with pytest.raises(Exception, match="lists a key twice"):
+        standardize_values(docs, rows + value_map({"f": {"a": "B"}}), body="metadata", lookup=lookup).collect()
+    with pytest.raises(Exception, match="lists a key twice"):
+        rename_fields(docs, field_map({"f": "x"}) + field_map({"f": "y"}), body="metadata", lookup=lookup).collect()
 
 
 SCHEMA = [
@@ -189,7 +201,7 @@ def test_harmonize_has_no_exchange_and_any_partitioning_agrees(bodies, values_of
     assert values_of(done) == values_of(harmonize(docs.repartition(7, F.rand(1)), **settings))
 
 
-def test_a_value_shared_by_a_third_of_all_documents(spark, monkeypatch, values_of):
+def test_a_value_shared_by_a_third_of_all_documents(spark, values_of):
     from docalign.sources.documents import table_to_documents
 
     value = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.col("id").cast("string")))
@@ -200,6 +212,5 @@ def test_a_value_shared_by_a_third_of_all_documents(spark, monkeypatch, values_o
         "profile string, field string, legacy_key string, is_list boolean, options array<struct<kind:string,text:string>>",
     )
     wanted = values_of(standardize_values(docs, rows, body="metadata"))
-    monkeypatch.setattr(config, "CONSTANT_ROWS", 10)
-    assert values_of(standardize_values(docs, table, body="metadata", document_key=["id"])) == wanted
+    assert values_of(standardize_values(docs, table, body="metadata")) == wanted
     assert wanted[0] == {"a": "H", "b": 1} and wanted[1] == {"a": None, "b": 1} and wanted[2] == {"a": "v2", "b": 3}
