@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docalign.functions import cells as C
-from docalign.functions.rows import unfold
+from docalign.functions.rows import rows_where, unfold
 from docalign.functions.text import group_slug, is_blank, java_pattern, matches_whole
 from docalign.operators.config import Config, Rows, all_rows, profiles_of, scoped_lookup
 from docalign.operators.schema import permissible_lookups
@@ -162,6 +162,17 @@ def with_group(documents: DataFrame) -> DataFrame:
     return filled.withColumn("group_slug", group_slug(F.col("group_name"), F.col("dataset_type")))
 
 
+def countable(documents: DataFrame) -> Column:
+    """False for documents whose group or type is JSON null: no group can be named for them.
+
+    They are left out of all aggregates. An absent group or type has a default.
+    """
+    if "head" not in documents.columns:
+        return F.lit(True)
+    nulls = F.filter("head", lambda c: c["field"].isin("group_name", "dataset_type") & (c["kind"] == "null"))
+    return F.coalesce(F.size(nulls) == 0, F.lit(True))
+
+
 def _profile(rows: DataFrame) -> list[str]:
     return ["profile"] if "profile" in rows.columns else []
 
@@ -175,7 +186,8 @@ def issue_rows(checked: DataFrame) -> DataFrame:
         )
 
     head = [*_profile(checked), "group_slug", "group_name", "dataset_type", "record_id"]
-    return unfold(with_group(checked), head, F.concat(*[tagged(t) for t in ISSUE_TYPES]), "_issue").select(*head, "_issue.*")
+    issues = F.when(countable(checked), F.concat(*[tagged(t) for t in ISSUE_TYPES]))
+    return unfold(with_group(checked), head, issues, "_issue").select(*head, "_issue.*")
 
 
 def merge_issues(checked: DataFrame, into: str = "merged_issues") -> DataFrame:
@@ -192,7 +204,7 @@ def nonstandard_values(checked: DataFrame) -> DataFrame:
     merged = merge_issues(checked)
     profile = _profile(merged)
     return (
-        unfold(merged, profile, "merged_issues", "i")
+        unfold(merged, profile, F.when(countable(merged), F.col("merged_issues")), "i")
         .select(*profile, "i.field", "i.value")
         .distinct()
     )
@@ -217,7 +229,7 @@ def quality_counts(checked: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     merged = F.transform("merged_issues", lambda i: row(i["field"], i["value"], zero))
     both = F.concat(F.array(row(none, none, flags)), merged)
-    rows = unfold(merge_issues(checked), profile, both, "r").select(*profile, "r.*")
+    rows = unfold(merge_issues(checked), profile, F.when(countable(checked), both), "r").select(*profile, "r.*")
     return (
         rows.groupBy(*profile, "field", "value")
         .agg(*[F.sum(c).alias(c) for c in counters])
@@ -249,7 +261,10 @@ def group_summary(checked: DataFrame, first_by: str = "record_id") -> DataFrame:
         F.when(any_issue, F.col("record_id")).alias("record_id"),
         *[(F.size(t) > 0).alias(t) for t in ISSUE_TYPES],
         F.struct(F.col(first_by).alias("at"), "group_name", "dataset_type").alias("first"),
+        *([countable(grouped).alias("counts")] if "head" in grouped.columns else []),
     )
+    if "head" in grouped.columns:
+        flagged = rows_where(flagged, F.col("counts")).drop("counts")
     per_document = flagged.groupBy(*profile, "group_slug", "record_id").agg(
         *[F.max(t).alias(t) for t in ISSUE_TYPES], F.min("first").alias("first")
     )

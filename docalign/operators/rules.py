@@ -101,17 +101,22 @@ def apply_rules(
     if not compiled:
         return documents.withColumn(into, F.col(body)).withColumn(log, constant_array([], ASSIGNMENT))
     # Conditions outside of lambdas are compiled; the literals are shared.
-    made = [
-        F.when(
-            holds,
-            constant_array(
-                [{"rule_no": r["rule_no"], "field": f, **C.value_of(v)} for f, v in r["then"].items()],
-                ASSIGNMENT,
-            ),
-        ).otherwise(constant_array([], ASSIGNMENT))
-        for r, holds in zip(compiled, _conditions(compiled, F.col(body)))
-    ]
-    return documents.withColumn(log, F.flatten(F.array(*made))).withColumn(
+    none = constant_array([], ASSIGNMENT)
+
+    def assignments(of_profile: Rows) -> Column:
+        made = [
+            F.when(
+                compile_condition(r["when"], F.col(body)),
+                constant_array(
+                    [{"rule_no": r["rule_no"], "field": f, **C.value_of(v)} for f, v in r["then"].items()],
+                    ASSIGNMENT,
+                ),
+            ).otherwise(none)
+            for r in of_profile
+        ]
+        return F.flatten(F.array(*made)) if made else none
+
+    return documents.withColumn(log, _by_profile(documents, compiled, assignments, none)).withColumn(
         into, _updated(F.col(body), F.col(log))
     )
 
@@ -133,28 +138,39 @@ def fired_rules(documents: DataFrame, rules: Config, body: str = "metadata") ->
     )
     kept = [c for c in documents.columns if c not in (body, "source_file")]
     return (
-        unfold(documents, kept, _fired(compiled, F.col(body)), "_rule")
+        unfold(documents, kept, _fired(documents, compiled, F.col(body)), "_rule")
         .withColumn("_about", F.get(about, F.col("_rule")))
         .select(*kept, "_about.*")
     )
 
 
-def _conditions(compiled: Rows, cells: Column) -> list[Column]:
-    """Per rule whether it fires on a row."""
-    return [
-        compile_condition(r["when"], cells)
-        if r["profile"] is None
-        else (F.col("profile") == r["profile"]) & compile_condition(r["when"], cells)
-        for r in compiled
-    ]
+def _by_profile(documents: DataFrame, compiled: Rows, make, none: Column) -> Column:
+    """The shared rules' result, then that of the row's own profile: no other profile's
+    rules are evaluated on a row. ``make`` turns rules into an array column."""
+    of: dict[str | None, Rows] = {}
+    for r in compiled:
+        of.setdefault(r["profile"], []).append(r)
+    shared = make(of.pop(None, []))
+    if not of or "profile" not in documents.columns:
+        return shared
+    own = F
+    for profile, rows in of.items():
+        own = own.when(F.col("profile") == profile, make(rows))
+    return F.concat(shared, own.otherwise(none))
 
 
-def _fired(compiled: Rows, cells: Column) -> Column:
+def _fired(documents: DataFrame, compiled: Rows, cells: Column) -> Column:
     """Places, from 0, of the rules that fire on a row."""
-    marks = [
-        F.when(holds, F.lit(i)).otherwise(F.lit(-1)) for i, holds in enumerate(_conditions(compiled, cells))
-    ]
-    return F.array_remove(F.array(*marks), -1) if marks else F.array().cast("array<int>")
+    place = {id(r): i for i, r in enumerate(compiled)}
+
+    def marks(rows: Rows) -> Column:
+        if not rows:
+            return none
+        fired = [F.when(compile_condition(r["when"], cells), F.lit(place[id(r)])).otherwise(F.lit(-1)) for r in rows]
+        return F.array_remove(F.array(*fired), -1)
+
+    none = F.array().cast("array<int>")
+    return _by_profile(documents, compiled, marks, none)
 
 
 def _updated(cells: Column, applied: Column) -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docalign.functions import cells as C
-from docalign.functions.rows import rows_where
 from docalign.sources.files import scan_text
 
 HEAD_FIELDS = ("uuid", "status", "group_name", "dataset_type")
@@ -79,11 +78,12 @@ def _one_value(text: Column) -> Column:
 def split_valid(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good documents, and one outcome row per broken one.
 
-    Each side reads the documents again when it runs. Where both are needed,
-    write the parsed documents once and split what was written.
+    Both sides are plain filters on ``error``, so on parsed documents that were written
+    once they reach the scan, and columns that are not used are not read. On documents
+    that were not written, each side parses the texts again.
     """
-    good = rows_where(documents, F.col("error").isNull()).drop("error")
-    return good, file_outcomes(rows_where(documents, F.col("error").isNotNull()))
+    good = documents.where(F.col("error").isNull()).drop("error")
+    return good, file_outcomes(documents.where(F.col("error").isNotNull()))
 
 
 def file_outcomes(documents: DataFrame, log_entries: Column | None = None) -> DataFrame:

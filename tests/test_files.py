@@ -191,3 +191,39 @@ def test_stream_takes_only_new_files(spark, tmp_path):
     assert len(rows) == 3
     good = [json.loads(r.document) for r in rows if r.error is None]
     assert [d["modified_metadata"] for d in good] == [{"a": "é", "n": None, "v": 1}] * 2
+
+
+def test_readers_take_one_array_and_nothing_else(spark, tmp_path):
+    (tmp_path / "good.json").write_text('\n [{"name":"a"}]\n')
+    assert [r.name for r in read_target_schema(spark, str(tmp_path / "good.json")).collect()] == ["a"]
+    (tmp_path / "rules.json").write_text('\n[{"when":{},"then":{"a":1}}] ')
+    assert read_rules(spark, file=str(tmp_path / "rules.json")).count() == 1
+    for text in ("[] junk", '{"name":"a"}', '[],"y":[]', "[1"):
+        (tmp_path / "bad.json").write_text(text)
+        with pytest.raises(Exception, match="must"):
+            read_target_schema(spark, str(tmp_path / "bad.json")).collect()
+        with pytest.raises(Exception, match="must"):
+            read_rules(spark, file=str(tmp_path / "bad.json")).collect()
+
+
+def test_crosswalk_quotes_as_in_csv(spark, tmp_path):
+    import csv
+    import io
+
+    text = 'target,v0,v1\r\nsize,5" disk,\r\nname,3" lbl,x""y\r\n\r\n"a ""b""","c\nd","e"f"g\nlast,"open, to\nthe end'
+    (tmp_path / "c.csv").write_bytes(text.encode())
+    rows = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+    found = read_crosswalk(spark, str(tmp_path / "c.csv")).collect()
+    got = {(r.row_no, r.col_no): (r.target, r.legacy) for r in found}
+    assert got == {(i, j): (r[0], r[j]) for i, r in enumerate(rows) if i for j in range(1, len(r))}
+
+
+def test_split_valid_is_a_filter_of_the_scan(spark, tmp_path):
+    from docalign.sources.documents import parse_documents, split_valid
+
+    frame = spark.createDataFrame([(1, "a", "a.json", '{"uuid":"1","metadata":{}}')], "id int, stem string, source_file string, content string")
+    parse_documents(frame).write.parquet(str(tmp_path / "parsed"))
+    good, failed = split_valid(spark.read.parquet(str(tmp_path / "parsed")))
+    plan = good.where("source_file = 'a.json'").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(source_file,a.json)" in plan and "IsNull(error)" in plan and "head#" not in plan and "metadata#" not in plan
+    assert good.count() == 1 and failed.count() == 0

@@ -166,6 +166,19 @@ def test_patterns_match_as_in_python(spark):
         assert [(t, g) for t, g in zip(TEXTS, got)] == [(t, w) for t, w in zip(TEXTS, wanted)], pattern
 
 
+def test_documents_with_a_null_group_are_not_counted(spark):
+    from docalign.sources.documents import parse_documents
+
+    heads = ['"group_name":"G"', '"group_name":null', '"dataset_type":null', '"status":"x"']
+    texts = [(i, "d", "d.json", f'{{"uuid":"{i}",{h},"metadata":{{"c":"no"}}}}') for i, h in enumerate(heads)]
+    frame = spark.createDataFrame(texts, "id int, stem string, source_file string, content string")
+    docs = parse_documents(frame).withColumn("modified_metadata", F.col("metadata"))
+    checked = Q.check_quality(docs, SCHEMA)
+    assert Q.quality_counts(checked).first().documents_processed == 2
+    assert {r.group_slug for r in Q.group_summary(checked).collect()} == {"g-unknown", "unknown-group-unknown"}
+    assert {r.group_slug for r in Q.issue_rows(checked).collect()} == {"g-unknown", "unknown-group-unknown"}
+
+
 def test_patterns_without_a_counterpart_are_not_checked(spark):
     for pattern in ["(a)?(?(1)b|c)", "(", "(?<=a+)b"]:
         assert java_pattern(pattern) is None
