@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Documents in a bucket of a source, about.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 256
 
 
 @dataclass(frozen=True)
