@@ -114,7 +114,55 @@ SELECT doc_id, n_words::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS wo
 FROM judged
 """
 
-SQL = {"op1_mixing": OP1, "op2_topk": OP2, "op9_line_rules": OP9}
+#: Wording that a text must hold for a template's label; words joined by a space. Parts that may be
+#: left out at either end of a template change no label, so they are not written here.
+WORDING = {
+    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+    "documentation files (the software )?to deal in the software without restriction including without limitation the "
+    "rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
+    "isc": "permission to use copy modify and (or )?distribute this software for any purpose with or without fee is hereby "
+    "granted provided that the above copyright notice and this permission notice appear in all copies",
+    "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met",
+    "mit-notice": "released under the mit license",
+    "apache-2.0": "licensed under the apache license version 2 0",
+    "gpl-3.0": "licensed under the gnu general public license version 3",
+    "gpl-notice": "you can redistribute it and or modify it under the terms of the gnu general public license as published by "
+    "the free software foundation either version ([^ ]+ ){1,2}of the license or at your option any later version",
+    "cc-by-4.0": "licensed under (a creative commons )?cc by 4 0",
+    "cc-by-nc-4.0": "licensed under (a creative commons )?cc by nc 4 0",
+    "cc-by-sa-4.0": "licensed under (a creative commons )?cc by sa 4 0",
+    "cc0-1.0": "to the extent possible under law ([^ ]+ ){1,12}waived all copyright and related or neighboring rights",
+    "all-rights-reserved": "all rights reserved",
+}
+_PHRASES = {
+    "gpl": ["gnu", "general", "public", "license"], "apache": ["apache", "license"], "cc-by": ["cc", "by"], "mit": ["mit", "license"],
+}
+_PLACES = ", ".join(
+    f"list_filter(range(len(w)), lambda i: w[i + 1:i + {len(p)}] = {p}) AS \"{label}\"" for label, p in _PHRASES.items()
+)
+_FOUND = " || ".join(f"CASE WHEN len(\"{label}\") > 0 THEN ['{label}'] ELSE [] END" for label in _PHRASES)
+_MATCHED = " || ".join(f"CASE WHEN regexp_matches(joined, ' {r} ') THEN ['{label}'] ELSE [] END" for label, r in WORDING.items())
+_ALL = " || ".join(f'"{label}"' for label in _PHRASES)
+
+OP10 = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), places AS (
+  SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS joined, {_PLACES} FROM words
+), found AS (
+  SELECT *, {_FOUND} AS base, {_MATCHED} AS matched, {_ALL} AS every FROM places
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(every)::BIGINT AS n_base, list_min(every)::BIGINT AS first_word,
+       list_max(every)::BIGINT AS last_word, array_to_string(list_sort(base), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(base || matched)), ',') AS labels,
+       CASE WHEN len(matched) > 0 THEN 1.0::DOUBLE WHEN len(base) > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM found
+"""
+
+SQL = {"op10_licenses": OP10, "op1_mixing": OP1, "op2_topk": OP2, "op9_line_rules": OP9}
 
 
 def oracle_sql() -> dict[str, str]:

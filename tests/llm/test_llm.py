@@ -408,7 +408,7 @@ def test_template_automaton():
 # --- queries and the pipeline ------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("name", ["op1_mixing", "op2_topk", "op9_line_rules"])
+@pytest.mark.parametrize("name", ["op1_mixing", "op2_topk", "op9_line_rules", "op10_licenses"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 
