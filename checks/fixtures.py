@@ -210,6 +210,16 @@ def broken_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def part_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as documents, each with a profile of its own; half of them lack a field."""
+    k = F.col("p_partkey")
+    return table_to_documents(
+        table(spark, folder, "part"),
+        {"id": k, "profile": F.concat(F.lit("part-"), k.cast("string"))},
+        [("type", F.col("p_type")), ("brand", F.col("p_brand"), k % 2 == 0), ("size", F.col("p_size"))],
+    )
+
+
 # --- catalogs of config files -------------------------------------------------------
 
 

@@ -442,7 +442,11 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'east', 0, 1, 1 FROM b WHERE k % 3 = 0 AND st <> 'O' GROUP BY 1
             UNION ALL SELECT 'west', 0, 1, 0 FROM b WHERE k % 3 = 1 AND seg = 'BUILDING' GROUP BY 1""",
     }
+    texts["conform_catalog"] = f"""WITH {PART}
+        SELECT k AS id, 0 AS pos, 'size' AS field, CAST(size AS VARCHAR) AS value_json FROM p
+        UNION ALL SELECT k, 1, 'brand', CASE WHEN k % 2 = 0 THEN {_js('profile')} ELSE 'null' END FROM p"""
     # The same maps looked up by join give the same results.
-    for name in ("rename_fields_orders", "standardize_values_orders", "unmapped_values", "harmonize_profiles"):
+    for name in ("rename_fields_orders", "standardize_values_orders", "unmapped_values", "harmonize_profiles", "conform_orders",
+                 "missing_before_conform"):
         texts[f"{name}_joined"] = texts[name]
     return texts

@@ -79,6 +79,21 @@ def harmonize_profiles_joined(spark, folder):
     return _cells(done.where("key is null"), "modified_metadata", "profile")
 
 
+def conform_orders_joined(spark, folder):
+    return _cells(schema.conform_to_schema(_standardized(spark, folder), X.SCHEMA, lookup="join"))
+
+
+def missing_before_conform_joined(spark, folder):
+    found = quality.find_missing_required(_renamed(spark, folder), X.SCHEMA, lookup="join")
+    return _issues(found, quality.MISSING)
+
+
+def conform_catalog(spark, folder):
+    """Every part by a schema of its own: as many profiles as parts."""
+    catalog = readers.schema_entries(X.schema_files(spark, folder))
+    return _cells(schema.conform_to_schema(X.part_documents(spark, folder), catalog, body="metadata"))
+
+
 def rename_fields_orders_joined(spark, folder):
     return _cells(fields.rename_fields(_orders(spark, folder), X.FIELD_MAP, body="metadata", lookup="join"))
 
@@ -361,7 +376,8 @@ ALL = [
     missing_before_conform, regex_violations, merged_issues, nonstandard_values, quality_counts,
     group_summary, issue_rows, review_nonstandard, review_missing, review_pattern, choice_lists,
     value_mapping_catalog, report_counts, harmonize_profiles_joined, rename_fields_orders_joined,
-    standardize_values_orders_joined, unmapped_values_joined,
+    standardize_values_orders_joined, unmapped_values_joined, conform_orders_joined, missing_before_conform_joined,
+    conform_catalog,
 ]
 
 

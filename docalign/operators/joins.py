@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docalign.functions.rows import unfold
-from docalign.operators.config import DUPLICATE
+from docalign.operators.config import DUPLICATE, Config, joined_table
 
 
 def attach_matches(
@@ -68,3 +68,25 @@ def with_scope(rows: DataFrame, table: DataFrame) -> tuple[DataFrame, DataFrame]
     named = table.where(F.col("profile").isNotNull()).select("profile", F.col("profile").alias("_scope")).distinct()
     scoped = rows.join(named, "profile", "left").withColumn("_scope", F.coalesce("_scope", F.lit("")))
     return scoped, scoped_table
+
+
+SCHEMA_ROW = (
+    "profile string, pos int, name string, required boolean, required_strict boolean, "
+    "default_value struct<kind:string,text:string>"
+)
+
+
+def attach_schema(documents: DataFrame, schema: Config) -> tuple[DataFrame, Column]:
+    """Each document with the schema it follows, as one array in the order of the fields.
+
+    ``array<struct<pos, name, required, required_strict, default_value>>``, null where the
+    document's profile has no schema. One row per profile is joined, so a catalog of any
+    number of profiles stays out of the plan; a group of it is one schema.
+    """
+    if not isinstance(schema, DataFrame):
+        names = [part.split()[0] for part in SCHEMA_ROW.split(", ")]
+        schema = [{n: r[n] for n in names} for r in schema]
+    scoped, table = with_scope(documents, joined_table(documents, schema, SCHEMA_ROW))
+    field = F.struct("pos", "name", "required", "required_strict", "default_value")
+    per_profile = table.groupBy("_scope").agg(F.array_sort(F.collect_list(field)).alias("_schema"))
+    return scoped.join(per_profile, "_scope", "left").drop("_scope"), F.col("_schema")

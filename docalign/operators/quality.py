@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from docalign.functions import cells as C
 from docalign.functions.rows import rows_where, unfold
 from docalign.functions.text import group_slug, is_blank, java_pattern, matches_whole
-from docalign.operators.config import Config, Rows, all_rows, profiles_of, scoped_lookup
+from docalign.operators.config import Config, Rows, all_rows, is_joined, profiles_of, scoped_lookup
+from docalign.operators.joins import attach_schema
 from docalign.operators.schema import permissible_lookups
 
 NONPERMISSIBLE, MISSING, REGEX = "non_permissible", "missing_required", "regex_violations"
@@ -76,20 +77,24 @@ def find_nonpermissible(
 
 
 def find_missing_required(
-    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = MISSING
+    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = MISSING, lookup: str | None = None
 ) -> DataFrame:
     """Required fields that are absent, null, blank or empty, with a marker."""
-    facets = schema_facets(schema)
-    required: dict[str | None, list[str]] = {r["profile"]: [] for r in facets}
-    for r in facets:
-        if r["required"]:
-            required[r["profile"]].append(r["name"])
-    find = scoped_lookup(
-        ((p, ("",), names) for p, names in required.items()), "array<string>", profiles_of(facets)
-    )
+    if is_joined(schema, lookup):
+        documents, followed = attach_schema(documents, schema)
+        needed = F.transform(F.filter(followed, lambda f: f["required_strict"]), lambda f: f["name"])
+    else:
+        facets = schema_facets(schema)
+        required: dict[str | None, list[str]] = {r["profile"]: [] for r in facets}
+        for r in facets:
+            if r["required"]:
+                required[r["profile"]].append(r["name"])
+        needed = scoped_lookup(
+            ((p, ("",), names) for p, names in required.items()), "array<string>", profiles_of(facets)
+        )(F.lit(""))
     context = F.struct(
         C.by_name(F.col(body)).alias("by_name"),
-        F.coalesce(find(F.lit("")), F.array().cast("array<string>")).alias("required"),
+        F.coalesce(needed, F.array().cast("array<string>")).alias("required"),
     )
 
     def marker(c: Column) -> Column:
@@ -108,7 +113,7 @@ def find_missing_required(
     found = C.let(
         context, lambda x: F.array_compact(F.transform(x["required"], lambda f: one(x, f)))
     )
-    return documents.withColumn(into, F.when(F.col(body).isNotNull(), found))
+    return documents.withColumn(into, F.when(F.col(body).isNotNull(), found)).drop("_schema")
 
 
 def find_regex_violations(

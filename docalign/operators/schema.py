@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from docalign.functions import cells as C
 from docalign.functions.lookup import constant_lookup
 from docalign.functions.rows import rows_where, unfold
-from docalign.operators.config import Config, Rows, all_rows, profiles_of, scoped_lookup
+from docalign.operators.config import Config, Rows, all_rows, is_joined, profiles_of, scoped_lookup
+from docalign.operators.joins import attach_schema
 
 # Template field types and the types they become.
 TEMPLATE_TYPES = {
@@ -150,17 +151,27 @@ def conform_to_schema(
     body: str = "modified_metadata",
     into: str = "modified_metadata",
     log: str = "excluded_data",
+    lookup: str | None = None,
 ) -> DataFrame:
     """Exactly the schema's fields, in schema order.
 
     A field that is there is kept, also as null or ''; only an absent one gets
     the default. What the schema does not know goes to ``log``. A document of a
-    profile without a schema stays as it is.
+    profile without a schema stays as it is. ``lookup`` is "constant" or "join", see
+    ``operators.config``.
     """
-    rows = all_rows(schema, "target schema")
-    if not rows:
-        return documents.withColumn(log, F.col(body)).withColumn(into, C.no_cells())
-    fields = _schema_of_row(rows)
+    if is_joined(schema, lookup):
+        documents, followed = attach_schema(documents, schema)
+        default = lambda f: C.cell(f["name"], f["default_value"]["kind"], f["default_value"]["text"])
+        fields = F.transform(followed, default)
+        names = F.transform(followed, lambda f: f["name"])
+        known = lambda field: F.coalesce(F.array_contains(names, field), F.lit(True))
+    else:
+        rows = all_rows(schema, "target schema")
+        if not rows:
+            return documents.withColumn(log, F.col(body)).withColumn(into, C.no_cells())
+        fields = _schema_of_row(rows)
+        known = _fields_of_row(rows)
     context = F.struct(
         F.col(body).alias("cells"), C.by_name(F.col(body)).alias("by_name"), fields.alias("fields")
     )
@@ -170,9 +181,8 @@ def conform_to_schema(
             F.transform(x["fields"], lambda f: F.coalesce(F.try_element_at(x["by_name"], f["field"]), f))
         )
 
-    known = _fields_of_row(rows)
     excluded = F.filter(F.col(body), lambda c: ~F.coalesce(known(c["field"]), F.lit(False)))
-    return documents.withColumn(log, excluded).withColumn(into, C.let(context, conformed))
+    return documents.withColumn(log, excluded).withColumn(into, C.let(context, conformed)).drop("_schema")
 
 
 def _schema_of_row(rows: Rows) -> Column:

@@ -45,7 +45,7 @@ def harmonize(
     if value_map is not None:
         result = standardize_values(result, value_map, lookup=lookup)
     if schema is not None:
-        result = conform_to_schema(result, schema)
+        result = conform_to_schema(result, schema, lookup=lookup)
     for name, log_type in LOG_TYPES.items():
         if name not in result.columns:
             result = result.withColumn(name, F.array().cast(log_type))
