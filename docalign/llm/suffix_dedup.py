@@ -258,10 +258,16 @@ def repeated_runs(
 def repeated_spans(documents: DataFrame, stash: Stash, sharding: Sharding = Sharding()) -> DataFrame:
     """Rows ``doc_id, row, start, end`` of bytes to remove; spans of a document may overlap."""
     spark = documents.sparkSession
+
+    def done(*frames: DataFrame) -> None:
+        """Delete tables that are not read again, and let Spark delete the shuffle files of finished jobs."""
+        stash.drop(*frames)
+        spark._jvm.System.gc()
+
     grams = document_contexts(documents).select("gram").groupBy("gram").agg(F.count("*").alias("n"))
     twice = stash.save(grams.where("n > 1").select("gram"), "grams")
     shared = stash.save(document_contexts(documents).join(twice, "gram", "left_semi"), "shared")
-    spark._jvm.System.gc()  # lets Spark delete the shuffle files of the finished jobs
+    done(twice)
 
     classes = shared.groupBy("gram", "context").agg(
         F.min(_document_order()).alias("first"), F.max("strings").alias("strings"), F.count("*").alias("n")
@@ -270,15 +276,18 @@ def repeated_spans(documents: DataFrame, stash: Stash, sharding: Sharding = Shar
     first = classes.where("n > 1").select("gram", "context", "first")
     whole = shared.join(first, ["gram", "context"]).where(_document_order() > F.col("first"))
     whole = whole.select("doc_id", "row", "start", (F.col("start") + F.col("strings") + LENGTH - 1).alias("end"))
+    whole = stash.save(whole, "whole")
+    done(shared)
 
     several = classes.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     spans = classes.join(several, "gram", "left_semi").select("first.doc_id", "first.row", "gram", "first.start", "strings")
     contexts = stash.save(cut_contexts(documents, spans), "contexts")
-    spark._jvm.System.gc()
+    done(classes)
     total = contexts.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(shuffle_partitions(spark), -(-total // sharding.shard_bytes))
-    inner = shard_repeats(contexts, shards)
-    return stash.save(whole.unionByName(inner), "spans")
+    inner = stash.save(shard_repeats(contexts, shards), "inner")
+    done(contexts)
+    return whole.unionByName(inner)
 
 
 CUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
