@@ -212,16 +212,19 @@ def write_documents(documents: DataFrame, path: str, mode: str = "error") -> Non
     """Write output documents to a Parquet table under ``path``.
 
     One row per input, with its ``source_file`` and the ``document`` as JSON
-    text. Files are laid out by ``dataset_type`` so that later reads prune. The
-    rows stay where they are: a type that holds most documents is written by
-    many tasks.
+    text. Files are laid out by ``dataset_type`` and ``group_name`` so that later reads
+    prune. Rows are brought together by both, so that not every task writes a file for
+    every group; adaptive execution splits a group that holds most documents.
     """
+    group = F.coalesce("group_name", F.lit("Unknown Group")) if "group_name" in documents.columns else F.lit("Unknown Group")
     rows = documents.select(
         F.coalesce("dataset_type", F.lit("Unknown")).alias("dataset_type"),
+        group.alias("group_name"),
         *(["source_file"] if "source_file" in documents.columns else []),
         document_json(documents).alias("document"),
     )
-    rows.write.mode(mode).partitionBy("dataset_type").parquet(path)
+    layout = ["dataset_type", "group_name"]
+    rows.hint("rebalance", *layout).write.mode(mode).partitionBy(*layout).parquet(path)
 
 
 def write_document_lines(documents: DataFrame, path: str, mode: str = "error") -> None:

@@ -30,19 +30,21 @@ def write_quality(
 
     ``checked`` (the issues of every document) comes first, as a table: all else
     is made from that table, so the documents are transformed once. Then
-    ``nonstandard_values``, ``counts``, ``summary``, ``choices``, and per issue
+    ``nonstandard_values`` and ``summary`` (sorted by range), ``counts``, ``choices``, and per issue
     type ``review/<type>``, with one folder per group and rows sorted by document
     and field. The sort is by range of both, so a group that holds most issues
     is spread over several tasks and files.
     """
     spark = checked.sparkSession
     head = [c for c in ("profile", "record_id", "group_name", "dataset_type") if c in checked.columns]
-    checked.select(*head, *ISSUE_TYPES).write.mode(mode).parquet(f"{path}/checked")
+    # Of the heads only what says whether a document counts is stored.
+    kept = [F.filter("head", lambda c: c["field"].isin("group_name", "dataset_type")).alias("head")]
+    checked.select(*head, *(kept if "head" in checked.columns else []), *ISSUE_TYPES).write.mode(mode).parquet(f"{path}/checked")
     stored = spark.read.parquet(f"{path}/checked")
     issues = issue_rows(stored)
-    nonstandard_values(stored).write.mode(mode).json(f"{path}/nonstandard_values")
+    nonstandard_values(stored).orderBy("field", "value").write.mode(mode).json(f"{path}/nonstandard_values")
     quality_counts(stored).write.mode(mode).json(f"{path}/counts")
-    group_summary(stored).write.mode(mode).json(f"{path}/summary")
+    group_summary(stored).orderBy("group_slug").write.mode(mode).json(f"{path}/summary")
     choice_lists(issues, schema).write.mode(mode).partitionBy("group_slug").json(f"{path}/choices")
     for issue_type in ISSUE_TYPES:
         rows = review_rows(issues, issue_type, base_url, hints)
