@@ -50,11 +50,14 @@ CLOSED_BY = {
 }
 #: Words in a class, id or role that mark what is no part of an article.
 MARKS = frozenset(
-    "ad ads adv advert advertisement adverts advertising banner sponsor sponsored promo promotion sidebar menu nav navbar "
-    "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices alert popup modal overlay "
-    "newsletter subscribe subscription signup login comment comments reply replies respond disqus discussion related recommended "
-    "share sharing social widget widgets pagination pager skip toolbar copyright disclaimer tags search complementary "
-    "contentinfo form".split()
+    "ad ads adv banner masthead consent notice notices alert modal overlay signup login reply replies respond discussion social "
+    "widget widgets pager skip toolbar topbar copyright disclaimer tags search complementary contentinfo form menu nav "
+    "header".split()
+)
+#: The same by beginning or end of the word: class names join words.
+MARKED = re.compile(
+    r"(?:comment|advert|adsby|sidebar|nav(?:bar|igation)|cookie|footer|newsletter|breadcrumb|sponsor|promo|subscri|shar(?:e|ing)"
+    r"|related|recommend|paginat|disqus|popup).*|.*(?:nav|menu|sidebar|footer|comments?|banner|popup)"
 )
 #: Elements that a mark in the class does not turn into boilerplate: they hold the page or article.
 KEPT = frozenset("html body article main".split())
@@ -73,14 +76,16 @@ BREAK = "#aside"
 WORD = "#word"
 
 
-def boilerplate(tag: str, rest: str) -> bool:
-    if tag in ASIDE:
+def boilerplate(tag: str, rest: str, in_article: bool = False) -> bool:
+    """Whether an element is no part of an article. A header inside an article is its own, with its title."""
+    if tag in ASIDE or tag == "header" and not in_article:
         return True
     if tag in KEPT or not rest:
         return False
     if _HIDING.search(rest):
         return True
-    return any(part in MARKS for value in _MARKED.findall(rest) for part in _PARTS.findall(value.lower()))
+    parts = [part for value in _MARKED.findall(rest) for part in _PARTS.findall(value.lower())]
+    return any((p in MARKS or MARKED.fullmatch(p)) and not (in_article and p == "header") for p in parts)
 
 
 def tokens(page: str, every: bool = False) -> Iterator[tuple[str, str]]:
@@ -129,7 +134,8 @@ def tokens(page: str, every: bool = False) -> Iterator[tuple[str, str]]:
             if not out:
                 yield f"<{tag}", ""
             continue
-        aside = tag not in HIDDEN and boilerplate(tag, found["rest"])
+        in_article = any(t in ("article", "main") for t, _ in stack)
+        aside = tag not in HIDDEN and boilerplate(tag, found["rest"], in_article)
         gone = tag in HIDDEN or aside and not every
         if not out:
             yield (BREAK if aside else f"<{tag}"), ""

@@ -277,6 +277,13 @@ def test_main_text(opened, closed):
         assert html_text.main_text(page, weights) == TEXT
 
 
+def test_headers_and_marks():
+    words = " ".join(["word"] * 12)
+    page = f"""<body><header><p>Site name and claim</p></header><article><header class="article-header"><h1>Head</h1></header>
+<p>{words}</p><ol class="commentlist"><li><p>{words}</p></ol></article><div id="siteFooter"><p>{words}</p></div></body>"""
+    assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == f"Head\n{words}"
+
+
 def test_best_region_is_the_largest_sum():
     rng = random.Random(9)
     for _ in range(300):
