@@ -186,7 +186,7 @@ DEFAULT_WEIGHTS = {WORD: 1.0, BREAK: -1.0, "<li": -3.0, "<a": -3.0, "<td": -2.0,
 #: Lowest score of a tag.
 FLOOR = -6.0
 #: Elements of running text: their tags are worth nothing where no labelled page has them.
-PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption br".split())
+PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption header section br".split())
 
 
 def tag_score(kind: str, weights: dict[str, float]) -> float:
@@ -199,7 +199,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     """First and last place (exclusive) of the contiguous part with the largest sum; empty if none is positive."""
     best, begin, end, total, start = 0.0, 0, 0, 0.0, 0
     for i, score in enumerate(scores):
-        if total <= 0.0:
+        if total < 0.0:
             total, start = 0.0, i
         total += score
         if total > best:
