@@ -39,7 +39,7 @@ class Stash:
     def save(self, frame: DataFrame, name: str = "t") -> DataFrame:
         """Write a table and read it back: the plan before it is not needed again."""
         at = self.path(name)
-        frame.write.parquet(at)
+        frame.write.option("compression", "zstd").parquet(at)
         saved = self.spark.read.schema(frame.schema).parquet(at)
         saved.stash_path = at
         return saved

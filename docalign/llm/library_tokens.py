@@ -7,13 +7,15 @@ remembers their ids, up to a bound.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
 #: Pieces that one Python worker remembers; then it starts anew. About 150 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_200_000
 #: A space behind white space, where the cut would change the pieces.
 _RUN = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -21,6 +23,12 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
+@lru_cache(maxsize=2)
+def worker_tokens(path: str) -> LibraryTokens:
+    """The encoder of this Python worker: its tasks share what it remembers."""
+    return LibraryTokens(path)
+
+
 class LibraryTokens:
     """Ids of whole texts as bytes of little-endian unsigned integers of ``width`` bytes."""
 
@@ -31,8 +39,6 @@ class LibraryTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        import json
-
         spec = json.loads(self.tokenizer.to_str())
         pre = spec["pre_tokenizer"] or {}
         self.cuts = spec["normalizer"] is None and all(pre.get(k) == v for k, v in _BYTE_LEVEL.items())

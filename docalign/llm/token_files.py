@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docalign.llm.common import Stash, as_bytes, shuffle_partitions
-from docalign.llm.library_tokens import LibraryTokens
+from docalign.llm.library_tokens import worker_tokens
 from docalign.llm.store import Files
 
 MAGIC = b"SVB1"
@@ -102,7 +102,7 @@ def encoded_blocks(documents: DataFrame, tokenizer: str, end_id: int, partitions
     schema = "shard int, block int, doc_ids array<long>, lengths binary, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = LibraryTokens(tokenizer)
+        tokens = worker_tokens(tokenizer)
         end = np.array([end_id], dtype=tokens.kind).tobytes()
         block, shard, doc_ids, parts, size = 0, None, [], [], 0
 
@@ -233,7 +233,7 @@ def token_file_digests(documents: DataFrame, tokenizer: str, end_id: int = 2) ->
     """Write all documents as token files and read them back: ``doc_id, start, n_tokens, ids_crc32``."""
     spark = documents.sparkSession
     stash = Stash(spark, "tokens")
-    width = LibraryTokens(tokenizer).width
+    width = worker_tokens(tokenizer).width
     folder = stash.path("files")
     ranks = write_token_files(documents, folder, tokenizer, end_id, width, stash)
     # Decoded once: sums and rows both come from this table.
