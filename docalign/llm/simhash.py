@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from docalign.llm.common import Stash, as_bytes, row_key
 from docalign.llm.components import components
+from docalign.llm.near_copies import near_links, shingle_sets
 
 #: Seed of the shingle hash.
 SEED = 42
@@ -149,10 +150,12 @@ def links(nodes: DataFrame, stash: Stash) -> DataFrame:
     return pairs.unionByName(dense)
 
 
-def simhash_components(rows: DataFrame, stash: Stash) -> DataFrame:
-    """Rows ``fp, component_id`` of all fingerprints; the smallest ``doc_id`` that links reach."""
+def simhash_components(rows: DataFrame, stash: Stash, linked: DataFrame | None = None) -> DataFrame:
+    """Rows ``fp, component_id`` of all fingerprints; the smallest ``doc_id`` that links reach.
+
+    ``linked`` are other edges between the nodes than those of the fingerprints."""
     classes = stash.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "classes")
-    grouped = components(links(classes.select("fp"), stash), stash)
+    grouped = components(links(classes.select("fp"), stash) if linked is None else linked, stash)
     of_root = (
         grouped.join(classes, grouped["node"] == classes["fp"])
         .groupBy("root").agg(F.min("least_id").alias("reached"))
@@ -175,9 +178,22 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     stash = Stash(documents.sparkSession, "simhash")
     keyed = documents.select("doc_id", "text", row_key("doc_id", *_others(documents), "text").alias("row"))
     rows = stash.save(fingerprints(keyed, keep=("doc_id", "row")), "fingerprints")
+    return _first_of_each(documents, rows, stash)
+
+
+def keep_one_of_near_copies(documents: DataFrame) -> DataFrame:
+    """One document of each group that five-word shingles of Jaccard similarity 0.8 or more
+    link: the one with the smallest id (of equal rows, one)."""
+    stash = Stash(documents.sparkSession, "near-copies")
+    keyed = documents.select("doc_id", "text", row_key("doc_id", *_others(documents), "text").alias("row"))
+    rows = stash.save(shingle_sets(keyed, ("doc_id", "row")), "sets")
+    return _first_of_each(documents, rows, stash, near_links(rows, keyed.select("row", "text"), stash))
+
+
+def _first_of_each(documents: DataFrame, rows: DataFrame, stash: Stash, linked: DataFrame | None = None) -> DataFrame:
     # Components need an order of rows, so a row stands for its place: id (null last), then hash.
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    found = simhash_components(rows.select(place.alias("doc_id"), "fp"), stash)
+    found = simhash_components(rows.select(place.alias("doc_id"), "fp"), stash, linked)
     kept = found.select(F.col("component_id.doc_id").alias("kept_id"), F.col("component_id.row").alias("kept_row"))
     columns = documents.columns
     own = documents.withColumn("_row_of_document", row_key("doc_id", *_others(documents), "text"))
