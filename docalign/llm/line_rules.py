@@ -129,8 +129,10 @@ def document_lines(documents: DataFrame, host: str = "source", text: str = "text
     return each.select("doc_id", "row", "host", "x.line", "x.chars", "total")
 
 
-def depleted_documents(documents: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:
-    """Rows ``doc_id, row, chars_left`` of documents that common lines leave too little of.
+def common_lines(documents: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:
+    """Rows ``doc_id, row, chars_left, gone, depleted`` of documents that hold common lines.
+
+    ``gone`` has the hashes of these lines; a depleted document is left with too little.
 
     A line counts as common if enough *witnesses* hold it: documents of the host most of
     whose text stands in other lines. Copies of one text share all their lines, so they
@@ -164,10 +166,25 @@ def depleted_documents(documents: DataFrame, limits: LineLimits = LineLimits(),
     seen = frequent.join(
         witnesses, (F.col("row") == F.col("w_row")) & F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi"
     )
-    left = in_common(held(frequent, over_limit(seen))).withColumn("chars_left", F.col("total") - F.col("common"))
-    return left.where(
-        (F.col("chars_left") < limits.min_chars) | (F.col("chars_left") < F.col("total") * limits.min_left)
-    ).select("doc_id", "row", F.col("chars_left").cast("long").alias("chars_left"))
+    left = held(frequent, over_limit(seen)).groupBy("doc_id", "row").agg(
+        F.sum("chars").alias("common"), F.max("total").alias("total"), F.collect_set("line").alias("gone")
+    ).withColumn("chars_left", F.col("total") - F.col("common"))
+    depleted = (F.col("chars_left") < limits.min_chars) | (F.col("chars_left") < F.col("total") * limits.min_left)
+    return left.select(
+        "doc_id", "row", F.col("chars_left").cast("long").alias("chars_left"), "gone", depleted.alias("depleted")
+    )
+
+
+def depleted_documents(documents: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:
+    """Rows ``doc_id, row, chars_left`` of documents that common lines leave too little of."""
+    return common_lines(documents, limits, host).where("depleted").select("doc_id", "row", "chars_left")
+
+
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text without the lines of these hashes; all other lines stay as they are, in order."""
+    normal = lambda x: F.lower(F.trim(x, F.lit(SPACES)))
+    left = F.filter(F.split(text, "\n"), lambda x: (normal(x) == "") | ~F.array_contains(gone, F.xxhash64(normal(x))))
+    return F.array_join(left, "\n")
 
 
 def line_rules(documents: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:
@@ -184,18 +201,30 @@ def line_rules(documents: DataFrame, limits: LineLimits = LineLimits(), host: st
 
 
 def keep_by_rules(documents: DataFrame, limits: LineLimits = LineLimits(), host: str = "source") -> DataFrame:
-    """The documents that no rule rejects, with their own columns."""
+    """The documents that no rule rejects, with their own columns, without the lines that are
+    common in their host; ``n_chars``, if there is one, is the length of what is left."""
     columns = documents.columns
     names = [f"c{i}" for i in range(len(columns))]
     packed = documents.select(
         "doc_id", F.col(host).alias("source"), "text",
         F.struct(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)]).alias("own"),
     )
-    depleted = depleted_documents(packed, limits).select(F.col("doc_id").alias("d_id"), F.col("row").alias("d_row"))
+    common = common_lines(packed, limits).select(
+        F.col("doc_id").alias("d_id"), F.col("row").alias("d_row"), "gone", "depleted"
+    )
     good = text_measures(packed).where(~F.col("base_failed")).withColumn("row", row_key("doc_id", "source", "text"))
     kept = good.join(
-        depleted, (F.col("row") == F.col("d_row")) & F.col("doc_id").eqNullSafe(F.col("d_id")), "left_anti"
-    )
-    return kept.select(*[F.col(f"own.{n}").alias(c) for c, n in zip(columns, names, strict=True)])
-
-
+        common, (F.col("row") == F.col("d_row")) & F.col("doc_id").eqNullSafe(F.col("d_id")), "left"
+    ).where(~F.coalesce("depleted", F.lit(False)))
+    cut = F.when(F.col("gone").isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col("gone")))
+    kept = kept.select("gone", "own", cut.alias("left"))
+    kinds = dict(documents.dtypes)
+
+    def column(c: str, n: str) -> Column:
+        if c == "text":
+            return F.col("left").alias(c)
+        if c == "n_chars":
+            return F.when(F.col("gone").isNull(), F.col(f"own.{n}")).otherwise(F.length("left").cast(kinds[c])).alias(c)
+        return F.col(f"own.{n}").alias(c)
+
+    return kept.select(*[column(c, n) for c, n in zip(columns, names, strict=True)])
