@@ -10,8 +10,9 @@ between the two suffixes that caused them.
 
 Queue keys come out in order of first byte, so the queue is one first-in-first-out spool
 per byte. A spool keeps a bounded part in memory and the rest in a file, and the text is
-mapped from its file, so a shard may be far larger than memory. All suffixes of a byte
-that are in the queue are taken at once, as arrays.
+mapped from its file; the reduced problem and the types are arrays in memory, so a shard
+takes some 45 bytes for each of its bytes. All suffixes of a byte that are in the queue
+are taken at once, as arrays.
 
 Common prefixes are counted up to ``DEPTH``; the order of suffixes that share more is
 still a full order of their bytes.

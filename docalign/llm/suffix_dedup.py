@@ -16,7 +16,7 @@ document of smaller id, or earlier in the same one. Strings are judged on the in
 
 A passage in a third of all documents is one class for each of its inner grams, counted
 by partial aggregation. At its two edges, contexts differ from document to document; their
-shard may be large, which the sorting bears: it works on files with bounded memory.
+shard may be large, and its sorting takes some 45 bytes of memory for each of its bytes.
 
 Defined cases: a null text counts as empty; nothing is removed from texts shorter than
 ``LENGTH``; a null id comes after all others; rows of one id with different texts are
