@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docalign.llm import html_text, licenses, line_rules, mixing, simhash, suffix_dedup, token_counts, token_files, topk
+from docalign.llm import html_text, language, licenses, line_rules, mixing, phrases, prefix_trie, simhash, suffix_dedup
+from docalign.llm import token_counts, token_files, topk
 from docalign.llm.bpe import bpe_digests
 
 
@@ -62,9 +63,21 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(documents(spark, folder)).drop("matches")
 
 
+def op11_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.predict_held_out(documents(spark, folder))
+
+
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(documents(spark, folder))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 ALL = [
     op1_mixing, op2_topk, op3_token_files, op4_suffix_dedup, op5_bpe, op6_token_counts, op7_html_text, op8_simhash,
-    op9_line_rules, op10_licenses,
+    op9_line_rules, op10_licenses, op11_language, op12_phrases, op13_prefix_trie,
 ]
 
 
