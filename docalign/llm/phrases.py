@@ -8,10 +8,12 @@ Frequent edges that can only follow each other are then compacted to paths, and
 lies in which longer one is read off the paths.
 
 Counting, in tasks: texts become arrays of 64-bit word hashes. Pieces are cut at words that
-are too rare for any phrase (a bitmap of fixed size tells; a rare word that it lets through
-costs time only). Equal grams of a task are added up before they are dealt out, by a hash of
-the whole gram, in blobs with their own dictionary of words; so neither a frequent word nor
-a frequent pair makes a partition large. Three shuffles carry edges, nodes and pairs.
+are too rare for any phrase. Up to ``NUMBERED`` frequent words, every task gets their hashes
+and writes their ranks, which are short; beyond, a bitmap of fixed size tells rare words (one
+that it lets through costs time only) and blobs of grams hold their own dictionary of hashes.
+Equal grams of a task are added up before they are dealt out by a hash of the whole gram, so
+neither a frequent word nor a frequent pair makes a partition large. Three shuffles carry
+edges, nodes and pairs.
 
 A hash stands for one word of one language. That is checked: all words are counted by their
 text too, and if two share a hash another seed is taken.
@@ -28,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,8 @@ WAITING = 1_000_000
 PARTITION_WORDS = 1_000_000
 #: Different words that a task holds before it passes their counts on.
 VOCABULARY = 300_000
+#: Most frequent words that are sent to every task, 8 bytes each; beyond that many, a bitmap.
+NUMBERED = 4_000_000
 #: The bitmap of frequent words has 2 to this power bits.
 BITS = 24
 COUNTS = "level int, bucket int, blob binary, gram array<long>, f long"
@@ -183,6 +188,40 @@ def frequent_bits(words: DataFrame) -> np.ndarray:
     return out
 
 
+class Vocabulary:
+    """The frequent words as tasks see them: numbered by rank, or as hashes that pass a bitmap."""
+
+    def __init__(self, often: DataFrame, numbered: int = NUMBERED) -> None:
+        self.size = often.count() if numbered else 0
+        if 0 < self.size <= numbered:
+            self.hashes = often.orderBy(F.desc("n"), "h").select("h").toArrow().column(0).to_numpy().view(np.uint64)
+            self.bits = None
+        else:
+            self.hashes, self.bits = None, np.packbits(frequent_bits(often))
+
+    def __setstate__(self, state: dict) -> None:
+        """In a worker: what looking up needs."""
+        self.__dict__ = state
+        if self.hashes is not None:
+            self.order = np.argsort(self.hashes).astype(np.uint32)
+            self.sorted = self.hashes[self.order]
+        else:
+            self.known = np.unpackbits(self.bits).astype(bool)
+
+    def numbers(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the frequent words among hashes, and a number for each of them."""
+        if self.hashes is None:
+            kept = np.flatnonzero(self.known[h >> np.uint64(64 - BITS)])
+            return kept, h[kept]
+        at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
+        kept = np.flatnonzero(self.sorted[at] == h)
+        return kept, self.order[at[kept]].astype(np.uint64)
+
+    def words(self, numbers: np.ndarray) -> np.ndarray:
+        """Hashes of numbers."""
+        return (numbers if self.hashes is None else self.hashes[numbers.astype(np.int64)]).view(np.int64)
+
+
 # --- grams and their counts ----------------------------------------------------------------------------
 
 
@@ -206,21 +245,32 @@ def add_up(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def pack(grams: np.ndarray, counts: np.ndarray) -> bytes:
-    """Grams and counts as bytes: distinct words, then rows of their numbers."""
-    words, which = np.unique(grams, return_inverse=True)
-    small = "<u2" if len(words) <= 1 << 16 else "<u4"
+    """Grams and counts as bytes, column by column; large numbers through a dictionary of their own.
+
+    Bytes of one weight stand together and the first column as differences, which compresses well.
+    """
+    n, k = grams.shape
+    words = np.empty(0, dtype=np.uint64)
+    if grams.max(initial=0) >= 1 << 24:
+        words, which = np.unique(grams, return_inverse=True)
+        grams = which.reshape(grams.shape)
+    columns = np.ascontiguousarray(grams.T).astype(np.int64)
+    columns[0, 1:] -= columns[0, :-1].copy()
+    planes = columns.astype("<i4").view(np.uint8).reshape(k, n, 4).transpose(0, 2, 1)
     amount = "<u1" if counts.max(initial=0) < 1 << 8 else "<u8"
-    head = struct.pack("<IIBBB", len(grams), len(words), grams.shape[1], int(small[-1]), int(amount[-1]))
-    return head + words.tobytes() + which.reshape(grams.shape).T.astype(small).tobytes() + counts.astype(amount).tobytes()
+    body = words.tobytes() + planes.tobytes() + counts.astype(amount).tobytes()
+    return struct.pack("<IIBBI", n, len(words), k, int(amount[-1]), len(body)) + pa.compress(body, codec="zstd", asbytes=True)
 
 
 def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, d, k, small, amount = struct.unpack_from("<IIBBB", blob)
-    at = struct.calcsize("<IIBBB")
-    words = np.frombuffer(blob, dtype="<u8", count=d, offset=at)
-    which = np.frombuffer(blob, dtype=f"<u{small}", count=n * k, offset=at + 8 * d)
-    counts = np.frombuffer(blob, dtype=f"<u{amount}", count=n, offset=at + 8 * d + small * n * k)
-    return words[which].reshape(k, n).T, counts.astype(np.int64)
+    n, d, k, amount, size = struct.unpack_from("<IIBBI", blob)
+    body = pa.decompress(blob[struct.calcsize("<IIBBI") :], decompressed_size=size, codec="zstd", asbytes=True)
+    words = np.frombuffer(body, dtype="<u8", count=d)
+    planes = np.frombuffer(body, dtype=np.uint8, count=4 * n * k, offset=8 * d).reshape(k, 4, n).transpose(0, 2, 1)
+    columns = np.ascontiguousarray(planes).view("<i4").reshape(k, n).astype(np.int64)
+    columns[0] = np.cumsum(columns[0])
+    counts = np.frombuffer(body, dtype=f"<u{amount}", count=n, offset=8 * d + 4 * n * k)
+    return (words[columns] if d else columns.astype(np.uint64)).T, counts.astype(np.int64)
 
 
 def _dealt(grams: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple]:
@@ -249,13 +299,12 @@ def _count_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         yield _rows(held, ["level", "bucket", "blob", "gram", "f"], kinds)
 
 
-def edge_rows(documents: DataFrame, seed: int, bits: np.ndarray, buckets: int) -> DataFrame:
+def edge_rows(documents: DataFrame, seed: int, vocabulary: Broadcast, buckets: int) -> DataFrame:
     """Edges, and nodes and pairs at which runs end, as rows of ``COUNTS``."""
-    packed = np.packbits(bits).tobytes()
 
-    def grams_of(h: np.ndarray, piece: np.ndarray, frequent: np.ndarray) -> dict[int, np.ndarray]:
-        kept = np.flatnonzero(frequent[h >> np.uint64(64 - BITS)])
-        h, piece = h[kept], piece[kept]
+    def grams_of(hashes: np.ndarray, piece: np.ndarray) -> dict[int, np.ndarray]:
+        kept, h = vocabulary.value.numbers(hashes)
+        piece = piece[kept]
         # on[k][i]: the k + 1 words from i on are one run.
         joined = (kept[1:] == kept[:-1] + 1) & (piece[1:] == piece[:-1])
         on = [np.ones(len(h), dtype=bool)]
@@ -270,7 +319,6 @@ def edge_rows(documents: DataFrame, seed: int, bits: np.ndarray, buckets: int) -
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(seed)
-        frequent = np.unpackbits(np.frombuffer(packed, dtype=np.uint8)).astype(bool)
 
         def rows() -> Iterator[tuple]:
             held: dict[int, list[np.ndarray]] = {k: [] for k in range(2, LONGEST + 1)}
@@ -278,7 +326,7 @@ def edge_rows(documents: DataFrame, seed: int, bits: np.ndarray, buckets: int) -
             for batch in batches:
                 for data, offsets, langs in slices(batch.column(0), batch.column(1)):
                     _, _, _, piece, hashes = hasher.words(data, offsets, langs)
-                    for k, grams in grams_of(hashes[0], piece, frequent).items():
+                    for k, grams in grams_of(hashes[0], piece).items():
                         held[k].append(grams)
                     waiting += len(piece)
                     if waiting >= WAITING:
@@ -298,7 +346,7 @@ def edge_rows(documents: DataFrame, seed: int, bits: np.ndarray, buckets: int) -
     return documents.mapInArrow(work, COUNTS)
 
 
-def level_counts(rows: DataFrame, level: int, least: int, buckets: int) -> DataFrame:
+def level_counts(rows: DataFrame, level: int, least: int, vocabulary: Broadcast, buckets: int) -> DataFrame:
     """Adds up the grams of one length. Frequent ones come out as rows with ``gram`` and ``f``;
     of all, the flow goes on to the gram without its last word. Other rows pass."""
 
@@ -320,7 +368,7 @@ def level_counts(rows: DataFrame, level: int, least: int, buckets: int) -> DataF
                     waiting, size = [], 0
         grams, counts = add_up(np.concatenate([grams, *[w[0] for w in waiting]]), np.concatenate([counts, *[w[1] for w in waiting]]))
         often = counts >= least
-        for gram, f in zip(grams[often].view(np.int64).tolist(), counts[often].tolist()):
+        for gram, f in zip(vocabulary.value.words(grams[often]).tolist(), counts[often].tolist()):
             yield (0, f % buckets, None, gram, f)
         if level > 2:
             yield from _dealt(grams[:, :-1], counts, buckets)
@@ -384,7 +432,7 @@ def heaviest_longer(paths: DataFrame, frequent: DataFrame) -> DataFrame:
 class PhraseGraph:
     """Tables of one corpus: ``words`` (h, lang, word, n), ``frequent`` (gram, f) and ``paths`` (words, f)."""
 
-    def __init__(self, documents: DataFrame, text: str = "text", lang: str = "lang", least: int = 30) -> None:
+    def __init__(self, documents: DataFrame, text: str = "text", lang: str = "lang", least: int = 30, numbered: int = NUMBERED) -> None:
         spark = documents.sparkSession
         self.least = least
         self.stash = stash = Stash(spark, "phrases")
@@ -399,9 +447,10 @@ class PhraseGraph:
         often = self.words.where(F.col("n") >= least)
         total = self.words.agg(F.sum("n")).first()[0] or 0
         buckets = max(shuffle_partitions(spark), -(-total // PARTITION_WORDS))
-        rows = edge_rows(texts, seed, frequent_bits(often), buckets)
+        vocabulary = spark.sparkContext.broadcast(Vocabulary(often, numbered))
+        rows = edge_rows(texts, seed, vocabulary, buckets)
         for level in range(LONGEST, 1, -1):
-            rows = level_counts(rows, level, least, buckets)
+            rows = level_counts(rows, level, least, vocabulary, buckets)
         self.frequent = stash.save(rows.select("gram", "f"), "frequent")
         self.paths = stash.save(compact_paths(stash, self.frequent), "paths")
 
@@ -439,9 +488,11 @@ class PhraseGraph:
         return grams.join(spelled, "gram")
 
 
-def collocations(documents: DataFrame, least: int = 30, share: int = 80, most: int = 2000) -> DataFrame:
+def collocations(
+    documents: DataFrame, least: int = 30, share: int = 80, most: int = 2000, numbered: int = NUMBERED
+) -> DataFrame:
     """The best phrases of each language: ``lang, rank, phrase, a, l, r, n, score``."""
-    graph = PhraseGraph(documents, least=least)
+    graph = PhraseGraph(documents, least=least, numbered=numbered)
     order = [F.desc("score"), F.desc("a"), "phrase"]
     part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(64))).orderBy(*order)
     # The best of each of 64 parts of a language first, so that no task gets all its phrases.

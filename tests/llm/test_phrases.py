@@ -72,11 +72,11 @@ def corpus(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("least,most", [(2, 2000), (5, 7), (30, 2000)])
-def test_collocations(spark, least, most):
+@pytest.mark.parametrize("least,most,numbered", [(2, 2000, 4_000_000), (2, 2000, 10), (5, 7, 4_000_000), (30, 2000, 0)])
+def test_collocations(spark, least, most, numbered):
     rows = corpus(least, 400)
     table = spark.createDataFrame(rows, SCHEMA).repartition(7)
-    got = found(phrases.collocations(table, least=least, most=most))
+    got = found(phrases.collocations(table, least=least, most=most, numbered=numbered))
     assert got and got == plain(rows, least, most=most)
 
 
@@ -96,8 +96,8 @@ def test_odd_rows(spark):
 
 def test_blobs_hold_what_was_packed():
     rng = np.random.default_rng(1)
-    for distinct, n in ((3, 10), (100_000, 120_000)):
-        grams = rng.integers(0, 1 << 63, distinct, dtype=np.uint64)[rng.integers(0, distinct, (n, 4))]
+    for top, distinct, n in ((1 << 63, 3, 10), (1 << 63, 100_000, 120_000), (1 << 24, 50_000, 60_000), (9, 5, 0)):
+        grams = rng.integers(0, top, distinct, dtype=np.uint64)[rng.integers(0, distinct, (n, 4))]
         counts = rng.integers(1, 1000, n)
         back = phrases.unpack(phrases.pack(grams, counts))
         assert (back[0] == grams).all() and (back[1] == counts).all()
