@@ -215,7 +215,13 @@ def part_documents(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("p_partkey")
     return table_to_documents(
         table(spark, folder, "part"),
-        {"id": k, "profile": F.concat(F.lit("part-"), k.cast("string"))},
+        {
+            "id": k,
+            "profile": F.concat(F.lit("part-"), k.cast("string")),
+            "record_id": F.concat(F.lit("P"), k.cast("string")),
+            "group_name": F.col("p_brand"),
+            "dataset_type": F.col("p_type"),
+        },
         [("type", F.col("p_type")), ("brand", F.col("p_brand"), k % 2 == 0), ("size", F.col("p_size"))],
     )
 
@@ -306,6 +312,60 @@ def rule_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def part_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """A rule file for every part's profile, with nested conditions, and shared rules of three."""
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    size = F.col("p_size").cast("string")
+    # A size that the part has or not, written as another kind of number.
+    other = F.when(k % 4 == 0, F.concat(size, F.lit(".0"))).otherwise(F.concat((F.col("p_size") + 1).cast("string"), F.lit("e0")))
+    nested = F.concat(
+        F.lit('{"when":{"__must__":[{"__should__":[{"type":"SMALL"},{"type":"ECONOMY"}]},{"__should__":[{"brand":null},{"size":'),
+        other, F.lit('}]}]},"then":{"zone":"z'), (k % 3).cast("string"), F.lit('","n":'), key, F.lit("}}"),
+    )
+    seen = F.lit('{"when":{"__must__":[]},"then":{"seen":true}}')
+    crossed = F.concat(
+        F.lit('{"when":{"__should__":[{"__must__":[{"type":"ECONOMY"},{"size":'), size,
+        F.lit('}]},{"__must__":[{"type":"LARGE"},{"size":-1}]},{"type":"SMALL","brand":"'), F.col("p_brand"),
+        F.lit('"}]},"then":{"type":"T'), (k % 5).cast("string"), F.lit('","brand":"none"}}'),
+    )
+    never = F.lit('{"when":{"__should__":[]},"then":{"never":1}}')
+    own = F.when(k % 3 == 1, F.concat_ws(",", nested, never, seen, crossed)).otherwise(F.concat_ws(",", nested, never, crossed))
+    files = table(spark, folder, "part").select(
+        F.concat(F.lit("part-"), key).alias("profile"), F.concat(F.lit("rules/"), key, F.lit(".json")).alias("source_file"),
+        F.concat(F.lit("["), own, F.lit("]")).alias("content"),
+    )
+    shared = (
+        '[{"when":{"__must__":[{"size":7}]},"then":{"lucky":true}},{"when":{},"then":{"source":"parts"}},'
+        '{"when":{"__must__":[{"brand":null}],"__should__":[{"type":"SMALL"},{"size":null}]},"then":{"brand_state":"unknown"}}]'
+    )
+    return files.unionByName(
+        spark.range(1).select(F.lit(None).cast("string").alias("profile"), F.lit("rules/all.json").alias("source_file"), F.lit(shared).alias("content"))
+    )
+
+
+def part_schemas(spark: SparkSession, folder: str) -> DataFrame:
+    """A target schema for every part's profile: lists of mixed kinds, empty lists, thousands of patterns."""
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    size = F.col("p_size").cast("string")
+    brands = F.when(k % 6 == 0, F.lit("[]")).when(k % 6 == 2, F.concat(F.lit('["'), F.col("p_brand"), F.lit('","Brand#1"]'))).otherwise(F.lit('["Brand#1"]'))
+    sizes = F.when(k % 2 == 0, F.concat(F.lit("["), size, F.lit('.0,"x",true]'))).otherwise(F.concat(F.lit('["'), size, F.lit('",true]')))
+    pattern = (
+        F.when(k % 5 == 0, F.lit(r"[0-3]?\\d"))
+        .when(k % 5 == 1, F.lit(r"\\d"))
+        .when(k % 5 == 2, F.lit("("))
+        .when(k % 5 == 3, F.concat(size, F.lit("|"), key))
+        .otherwise(F.concat(F.lit(r"\\d{2}|x{"), key, F.lit("}")))
+    )
+    content = F.concat(
+        F.lit('[{"name":"type","required":true,"permissible_values":["SMALL","ECONOMY",'), (k % 7).cast("string"),
+        F.lit('],"regex":"(?:SMALL|ECONOMY){1,'), (1 + k % 9).cast("string"), F.lit('}"},{"name":"brand","required":true,"permissible_values":'), brands,
+        F.lit('},{"name":"size","default_value":'), key, F.lit(',"permissible_values":'), sizes, F.lit(',"regex":"'), pattern, F.lit('"}]'),
+    )
+    return table(spark, folder, "part").select(
+        F.concat(F.lit("part-"), key).alias("profile"), F.concat(F.lit("schema/"), key, F.lit(".json")).alias("source_file"), content.alias("content")
+    )
+
+
 def schema_files(spark: SparkSession, folder: str) -> DataFrame:
     """A catalog of target schema texts, one profile per part."""
     k = F.col("p_partkey")

@@ -445,8 +445,81 @@ def oracle_sql() -> dict[str, str]:
     texts["conform_catalog"] = f"""WITH {PART}
         SELECT k AS id, 0 AS pos, 'size' AS field, CAST(size AS VARCHAR) AS value_json FROM p
         UNION ALL SELECT k, 1, 'brand', CASE WHEN k % 2 = 0 THEN {_js('profile')} ELSE 'null' END FROM p"""
+    texts |= _catalogs()
     # The same maps looked up by join give the same results.
     for name in ("rename_fields_orders", "standardize_values_orders", "unmapped_values", "harmonize_profiles", "conform_orders",
-                 "missing_before_conform"):
+                 "missing_before_conform", "apply_rules_orders", "regex_violations", "nonpermissible"):
         texts[f"{name}_joined"] = texts[name]
     return texts
+
+
+def _catalogs() -> dict[str, str]:
+    """Parts by rules and schemas of their own."""
+    q = """q AS (SELECT p_partkey AS k, p_type AS type, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS brand, p_brand,
+             p_size AS size, 'P' || p_partkey AS rid, replace(lower(p_brand), ' ', '-') || '-' || lower(p_type) AS slug,
+             'part-' || p_partkey AS profile FROM part),
+           m AS (SELECT *, type IN ('SMALL', 'ECONOMY') AND (brand IS NULL OR k % 4 = 0) AS nested,
+             type = 'ECONOMY' OR (type = 'SMALL' AND brand IS NOT NULL) AS crossed, k % 3 = 1 AS seen,
+             brand IS NULL AND type = 'SMALL' AS unknown, size = 7 AS lucky FROM q)"""
+    own = """SELECT k, 1 AS no, 'nested' AS rule FROM m WHERE nested
+             UNION ALL SELECT k, 3, 'seen' FROM m WHERE seen
+             UNION ALL SELECT k, CASE WHEN seen THEN 4 ELSE 3 END, 'crossed' FROM m WHERE crossed"""
+    shared = """SELECT k, 1 AS no, 'lucky' AS rule FROM m WHERE lucky UNION ALL SELECT k, 2, 'source' FROM m
+             UNION ALL SELECT k, 3, 'unknown' FROM m WHERE unknown"""
+    updates = """CASE rule WHEN 'nested' THEN '{"zone": "z' || k % 3 || '", "n": ' || k || '}' WHEN 'seen' THEN '{"seen": true}'
+             WHEN 'crossed' THEN '{"type": "T' || k % 5 || '", "brand": "none"}' WHEN 'lucky' THEN '{"lucky": true}'
+             WHEN 'source' THEN '{"source": "parts"}' ELSE '{"brand_state": "unknown"}' END"""
+    body = """cells AS (
+        SELECT k, 1 AS rank, 'type' AS field, CASE WHEN crossed THEN '"T' || k % 5 || '"' ELSE '"' || type || '"' END AS v FROM m
+        UNION ALL SELECT k, 2, 'brand', CASE WHEN crossed THEN '"none"' ELSE '"' || brand || '"' END FROM m WHERE brand IS NOT NULL
+        UNION ALL SELECT k, 3, 'size', size::VARCHAR FROM m
+        UNION ALL SELECT k, 4, 'lucky', 'true' FROM m WHERE lucky
+        UNION ALL SELECT k, 5, 'source', '"parts"' FROM m
+        UNION ALL SELECT k, 6, 'brand_state', '"unknown"' FROM m WHERE unknown
+        UNION ALL SELECT k, 7, 'zone', '"z' || k % 3 || '"' FROM m WHERE nested
+        UNION ALL SELECT k, 8, 'n', k::VARCHAR FROM m WHERE nested
+        UNION ALL SELECT k, 9, 'seen', 'true' FROM m WHERE seen
+        UNION ALL SELECT k, 10, 'brand', '"none"' FROM m WHERE crossed AND brand IS NULL)"""
+    wrong = """np AS (
+        SELECT k, 'type' AS field, type AS value FROM q WHERE type NOT IN ('SMALL', 'ECONOMY')
+        UNION ALL SELECT k, 'brand', brand FROM q WHERE brand IS NOT NULL AND (k % 6 = 0 OR (brand <> 'Brand#1' AND k % 6 <> 2)))"""
+    # Sizes are on their list as text or number; as values only where the list has the number, or 1 as true.
+    broken = """rx AS (
+        SELECT k, 'type' AS field, type AS value FROM q WHERE NOT regexp_full_match(type, '(SMALL|ECONOMY){1,' || (1 + k % 9) || '}')
+        UNION ALL SELECT k, 'size', size::VARCHAR FROM q
+        WHERE CASE k % 5 WHEN 0 THEN size >= 40 WHEN 1 THEN size >= 10 WHEN 4 THEN size < 10 ELSE FALSE END)"""
+    missing = "mr AS (SELECT k, 'brand' AS field, 'MISSING_FIELD' AS value FROM q WHERE brand IS NULL)"
+    return {
+        "rules_catalog": f"""WITH {q}, {body} SELECT k AS id, row_number() OVER (PARTITION BY k ORDER BY rank) - 1 AS pos,
+            field, v AS value_json FROM cells""",
+        "fired_rules_catalog": f"""WITH {q} SELECT k AS id, no AS rule_no, 'rules/' || k || '.json' AS source_file, {updates} AS updates
+            FROM ({own}) UNION ALL SELECT k, no, 'rules/all.json', {updates} FROM ({shared})""",
+        "rule_coverage_catalog": f"""WITH {q} SELECT no AS rule_no, p_brand AS group_name, count(*) AS n
+            FROM ({shared}) JOIN q USING (k) GROUP BY no, p_brand""",
+        "nonpermissible_catalog": f"WITH {q}, {wrong} SELECT k AS id, field, value FROM np",
+        "validate_catalog": f"""WITH {q}, {wrong} SELECT k AS id, field, NOT EXISTS (FROM np WHERE np.k = c.k AND np.field = c.field)
+              AND NOT (field = 'size' AND k % 2 = 1 AND size <> 1) AS valid
+            FROM (SELECT k, size, 'type' AS field FROM q UNION ALL SELECT k, size, 'size' FROM q
+                  UNION ALL SELECT k, size, 'brand' FROM q WHERE brand IS NOT NULL) c""",
+        "facets_catalog": f"""WITH {q} SELECT k AS id, 'type' AS field, TRUE AS required, 'null' AS default_json FROM q
+            UNION ALL SELECT k, 'brand', TRUE, 'null' FROM q WHERE brand IS NOT NULL
+            UNION ALL SELECT k, 'size', FALSE, k::VARCHAR FROM q""",
+        "patterns_catalog": f"""WITH {q}, {broken} SELECT k AS id, field, value, 'violation' AS result FROM rx
+            UNION ALL SELECT k, 'size', '(', 'not checkable' FROM q WHERE k % 5 = 2""",
+        "choice_lists_catalog": f"""WITH {q}, {wrong}, {broken}, {missing}, f AS (
+              SELECT DISTINCT k, field FROM (FROM np UNION ALL FROM rx UNION ALL FROM mr) WHERE NOT (field = 'brand' AND k % 6 = 0)
+            ), n AS (SELECT f.k, field, dense_rank() OVER (PARTITION BY f.k ORDER BY field) AS col_no FROM f),
+            v AS (SELECT k, 'type' AS field, unnest([('string', 'SMALL'), ('string', 'ECONOMY'), ('integer', (k % 7)::VARCHAR)]) AS x,
+                    unnest([1, 2, 3]) AS row_no FROM q
+              UNION ALL SELECT k, 'brand', unnest(CASE WHEN k % 6 = 2 THEN [('string', p_brand), ('string', 'Brand#1')] ELSE [('string', 'Brand#1')] END),
+                    unnest(CASE WHEN k % 6 = 2 THEN [1, 2] ELSE [1] END) FROM q
+              UNION ALL SELECT k, 'size', unnest(CASE WHEN k % 2 = 0 THEN [('float', size || '.0'), ('string', 'x'), ('boolean', 'true')]
+                    ELSE [('string', size::VARCHAR), ('boolean', 'true')] END), unnest(CASE WHEN k % 2 = 0 THEN [1, 2, 3] ELSE [1, 2] END) FROM q)
+            SELECT profile, slug AS group_slug, n.field, col_no, row_no, x[1] AS kind, x[2] AS value
+            FROM n JOIN v ON n.k = v.k AND n.field = v.field JOIN q ON q.k = n.k""",
+        "group_summary_catalog": f"""WITH {q}, {wrong}, {broken}, {missing} SELECT slug AS group_slug, min(p_brand) AS group_name, min(type) AS dataset_type,
+            count(DISTINCT np.k) AS datasets_with_non_standard_values, count(DISTINCT mr.k) AS datasets_with_missing_required_values,
+            count(DISTINCT rx.k) AS datasets_with_invalid_input_patterns,
+            count(DISTINCT coalesce(np.k, mr.k, rx.k)) AS total_datasets_with_issues
+            FROM q LEFT JOIN np USING (k) LEFT JOIN mr USING (k) LEFT JOIN rx USING (k) GROUP BY slug""",
+    }

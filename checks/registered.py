@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as X
 from docalign.functions.cells import json_object, json_value
 from docalign.functions.rows import unfold
-from docalign.operators import diff, fields, quality, report, review, rules, schema, values
+from docalign.operators import diff, fields, membership, quality, report, review, rules, schema, values
 from docalign.plans.harmonize import harmonize, log_entries, output_documents, run_summary
 from docalign.sources import config as readers
 from docalign.sources import documents as docs
@@ -94,6 +94,84 @@ def conform_catalog(spark, folder):
     return _cells(schema.conform_to_schema(X.part_documents(spark, folder), catalog, body="metadata"))
 
 
+def _part_rules(spark, folder):
+    return readers.rule_entries(X.part_rules(spark, folder))
+
+
+def _part_schemas(spark, folder):
+    return readers.schema_entries(X.part_schemas(spark, folder))
+
+
+def rules_catalog(spark, folder):
+    """Every part by rules of its own and by the shared ones; no rule is in the plan."""
+    return _cells(rules.apply_rules(X.part_documents(spark, folder), _part_rules(spark, folder)))
+
+
+def fired_rules_catalog(spark, folder):
+    fired = rules.fired_rules(X.part_documents(spark, folder), _part_rules(spark, folder))
+    return fired.select("id", "rule_no", "source_file", "updates")
+
+
+def rule_coverage_catalog(spark, folder):
+    return report.rule_coverage(X.part_documents(spark, folder).drop("profile"), _part_rules(spark, folder))
+
+
+def apply_rules_orders_joined(spark, folder):
+    return _cells(rules.apply_rules(_orders(spark, folder), X.RULES, lookup="join"))
+
+
+def nonpermissible_catalog(spark, folder):
+    found = quality.find_nonpermissible(X.part_documents(spark, folder), _part_schemas(spark, folder), body="metadata")
+    return _issues(found, quality.NONPERMISSIBLE)
+
+
+def validate_catalog(spark, folder):
+    done = schema.validate_values(X.part_documents(spark, folder), _part_schemas(spark, folder), body="metadata")
+    return unfold(done, ["id"], F.arrays_zip("metadata", "valid"), "v").select(
+        "id", F.col("v.metadata.field").alias("field"), F.col("v.valid").alias("valid")
+    )
+
+
+def facets_catalog(spark, folder):
+    done = schema.attach_schema_facets(X.part_documents(spark, folder), _part_schemas(spark, folder), body="metadata")
+    return unfold(done, ["id"], "facets", "f").select(
+        "id", "f.field", "f.required", json_value(F.col("f.default_kind"), F.col("f.default_text")).alias("default_json")
+    )
+
+
+def patterns_catalog(spark, folder):
+    """Violations of patterns that are data, and the patterns that cannot be checked."""
+    schemas = _part_schemas(spark, folder)
+    found = quality.find_regex_violations(X.part_documents(spark, folder), schemas, body="metadata")
+    broken = _issues(found, quality.REGEX).select("id", "field", "value", F.lit("violation").alias("result"))
+    left_out = membership.uncheckable_patterns(schemas)
+    return broken.unionByName(
+        left_out.select(
+            F.substring_index("profile", "-", -1).cast("bigint").alias("id"), "field", F.col("regex").alias("value"),
+            F.lit("not checkable").alias("result"),
+        )
+    )
+
+
+def choice_lists_catalog(spark, folder):
+    checked = quality.check_quality(X.part_documents(spark, folder), _part_schemas(spark, folder), body="metadata")
+    return review.choice_lists(quality.issue_rows(checked), _part_schemas(spark, folder))
+
+
+def group_summary_catalog(spark, folder):
+    """All three checks by join, summed up over all profiles."""
+    checked = quality.check_quality(X.part_documents(spark, folder), _part_schemas(spark, folder), body="metadata")
+    return quality.group_summary(checked.drop("profile"))
+
+
+def regex_violations_joined(spark, folder):
+    return _issues(quality.find_regex_violations(_harmonized(spark, folder), X.SCHEMA, lookup="join"), quality.REGEX)
+
+
+def nonpermissible_joined(spark, folder):
+    return _issues(quality.find_nonpermissible(_harmonized(spark, folder), X.SCHEMA, lookup="join"), quality.NONPERMISSIBLE)
+
+
 def rename_fields_orders_joined(spark, folder):
     return _cells(fields.rename_fields(_orders(spark, folder), X.FIELD_MAP, body="metadata", lookup="join"))
 
@@ -377,7 +455,9 @@ ALL = [
     group_summary, issue_rows, review_nonstandard, review_missing, review_pattern, choice_lists,
     value_mapping_catalog, report_counts, harmonize_profiles_joined, rename_fields_orders_joined,
     standardize_values_orders_joined, unmapped_values_joined, conform_orders_joined, missing_before_conform_joined,
-    conform_catalog,
+    conform_catalog, rules_catalog, fired_rules_catalog, rule_coverage_catalog, apply_rules_orders_joined,
+    nonpermissible_catalog, validate_catalog, facets_catalog, patterns_catalog, choice_lists_catalog, group_summary_catalog,
+    regex_violations_joined, nonpermissible_joined,
 ]
 
 

@@ -93,7 +93,7 @@ def equal_values(value: Any) -> list[dict[str, str | None]]:
             if float(int(value)) == int(value):
                 found.append(value_of(float(value)))
         if value == 0:
-            found.append(value_of(-0.0))
+            found += [value_of(0.0), value_of(-0.0)]
         if value in (0, 1):
             found.append(value_of(bool(value)))
     return [v for i, v in enumerate(found) if v not in found[:i]]

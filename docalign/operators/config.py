@@ -1,7 +1,7 @@
 """Config tables as operators take them.
 
-Rows come as a list of dicts, or as a DataFrame of the same columns. A field or
-value map is looked up as a constant of the plan (``lookup="constant"``) or by a
+Rows come as a list of dicts, or as a DataFrame of the same columns. A table is
+looked up as a constant of the plan (``lookup="constant"``) or by a
 join (``lookup="join"``). The caller chooses; without a choice a list is a
 constant and a DataFrame is joined. The size of a table changes nothing, and both
 ways give the same result: a key that is listed twice for a profile is an error.
@@ -23,9 +23,6 @@ from pyspark.sql import functions as F
 from docalign.functions.cells import value_of
 from docalign.functions.lookup import constant_lookup
 
-# Largest table of rules or schema fields that is compiled into expressions.
-COMPILED_ROWS = 100_000
-
 DUPLICATE = "a profile lists a key twice"
 
 Rows = list[dict[str, Any]]
@@ -53,16 +50,6 @@ def joined_table(documents: DataFrame, config: Config, schema: str) -> DataFrame
     return documents.sparkSession.createDataFrame([dict(r) for r in config], schema)
 
 
-def all_rows(config: Config, what: str) -> Rows:
-    """The rows of a table that is compiled into expressions."""
-    if not isinstance(config, DataFrame):
-        return list(config)
-    found = [r.asDict(recursive=True) for r in config.limit(COMPILED_ROWS + 1).collect()]
-    if len(found) > COMPILED_ROWS:
-        raise ValueError(f"{what}: more than {COMPILED_ROWS} rows; handle some profiles at a time")
-    return found
-
-
 def profiles_of(rows: Rows) -> list[str]:
     return sorted({r["profile"] for r in rows if r["profile"] is not None})
 

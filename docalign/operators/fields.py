@@ -12,7 +12,7 @@ from docalign.functions.text import strip
 from docalign.operators.config import (
     Config, constant_rows, distinct_keys, is_joined, joined_table, named_profiles, scoped_lookup,
 )
-from docalign.operators.joins import attach_matches
+from docalign.operators.joins import attach_matches, fresh
 
 
 def crosswalk_to_field_map(crosswalk: DataFrame) -> DataFrame:
@@ -82,8 +82,9 @@ def rename_fields(
     """
     if is_joined(field_map, lookup):
         table = joined_table(documents, field_map, "profile string, legacy string, target string")
-        documents, targets = attach_matches(documents, table, body, {"legacy": lambda c: c["field"]}, "target")
-        entries = F.zip_with(F.col(body), targets, _entry)
+        documents, match = attach_matches(documents, table, body, {"legacy": lambda c: c["field"]}, "target")
+        entries = F.zip_with(F.col(body), F.col(match), _entry)
+        added = [match]
     else:
         rows = distinct_keys(constant_rows(field_map), "legacy")
         find = scoped_lookup(
@@ -93,18 +94,20 @@ def rename_fields(
             named_profiles(documents, rows),
         )
         entries = F.transform(F.col(body), lambda c: _entry(c, find(c["field"])))
-    renamed = F.col("_renamed")
+        added = []
+    [name] = fresh([*documents.columns, into, log], "_renamed")
+    renamed = F.col(name)
     clear = F.size(F.array_distinct(F.transform(renamed, _key))) == F.size(renamed)
     kept = F.when(clear, renamed).otherwise(_resolved(renamed))
     moved = F.filter(F.when(clear, renamed).otherwise(_firsts(renamed)), lambda k: k["target"] != k["field"])
     return (
-        documents.withColumn("_renamed", entries)
+        documents.withColumn(name, entries)
         .withColumn(into, F.transform(kept, lambda k: C.cell(_key(k), k["kind"], k["text"])))
         .withColumn(
             log,
             F.transform(moved, lambda k: F.struct(k["field"].alias("legacy"), k["target"].alias("target"))),
         )
-        .drop("_renamed", *[c for c in documents.columns if c.startswith("_match_")])
+        .drop(name, *added)
     )
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from docalign.functions import cells as C
 from docalign.functions.rows import rows_where, unfold
 from docalign.functions.text import group_slug, is_blank, java_pattern, matches_whole
-from docalign.operators.config import Config, Rows, all_rows, is_joined, profiles_of, scoped_lookup
+from docalign.operators.config import Config, Rows, constant_rows, is_joined, profiles_of, scoped_lookup
 from docalign.operators.joins import attach_schema
+from docalign.operators.membership import nonpermissible_by_join, regex_by_join
 from docalign.operators.schema import permissible_lookups
 
 NONPERMISSIBLE, MISSING, REGEX = "non_permissible", "missing_required", "regex_violations"
@@ -36,7 +37,7 @@ def schema_facets(schema: Config) -> Rows:
             "required": r["required_strict"],
             "pattern": java_pattern(r["regex"]) if r["regex"] else None,
         }
-        for r in sorted(all_rows(schema, "target schema"), key=lambda r: r["pos"])
+        for r in sorted(constant_rows(schema), key=lambda r: r["pos"])
     ]
 
 
@@ -56,12 +57,14 @@ def _printed(body: str) -> Column:
 
 
 def find_nonpermissible(
-    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = NONPERMISSIBLE
+    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = NONPERMISSIBLE, lookup: str | None = None
 ) -> DataFrame:
     """Values that are not on their field's list, neither as text nor by value.
 
     Only null is skipped; '' is a value like any other.
     """
+    if is_joined(schema, lookup):
+        return nonpermissible_by_join(documents, schema, body, into)
     limited, member = permissible_lookups(schema_facets(schema), by_text=True)
 
     def wrong(c: Column) -> Column:
@@ -81,8 +84,9 @@ def find_missing_required(
 ) -> DataFrame:
     """Required fields that are absent, null, blank or empty, with a marker."""
     if is_joined(schema, lookup):
-        documents, followed = attach_schema(documents, schema)
-        needed = F.transform(F.filter(followed, lambda f: f["required_strict"]), lambda f: f["name"])
+        documents, attached = attach_schema(documents, schema)
+        added = [attached]
+        needed = F.transform(F.filter(F.col(attached), lambda f: f["required_strict"]), lambda f: f["name"])
     else:
         facets = schema_facets(schema)
         required: dict[str | None, list[str]] = {r["profile"]: [] for r in facets}
@@ -92,6 +96,7 @@ def find_missing_required(
         needed = scoped_lookup(
             ((p, ("",), names) for p, names in required.items()), "array<string>", profiles_of(facets)
         )(F.lit(""))
+        added = []
     context = F.struct(
         C.by_name(F.col(body)).alias("by_name"),
         F.coalesce(needed, F.array().cast("array<string>")).alias("required"),
@@ -113,17 +118,19 @@ def find_missing_required(
     found = C.let(
         context, lambda x: F.array_compact(F.transform(x["required"], lambda f: one(x, f)))
     )
-    return documents.withColumn(into, F.when(F.col(body).isNotNull(), found)).drop("_schema")
+    return documents.withColumn(into, F.when(F.col(body).isNotNull(), found)).drop(*added)
 
 
 def find_regex_violations(
-    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = REGEX
+    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = REGEX, lookup: str | None = None
 ) -> DataFrame:
     """Values that their field's pattern does not cover; blanks are skipped.
 
-    Every distinct pattern is one constant in the plan and is compiled once per
-    task.
+    As constants, every distinct pattern is compiled once per task; joined, patterns are
+    data, of any number (``membership``; ``uncheckable_patterns`` names those left out).
     """
+    if is_joined(schema, lookup):
+        return regex_by_join(documents, schema, body, into)
     facets = schema_facets(schema)
     patterns = sorted({r["pattern"] for r in facets if r["pattern"]})
     number = {p: i for i, p in enumerate(patterns)}
@@ -148,11 +155,17 @@ def find_regex_violations(
     return documents.withColumn(into, found)
 
 
-def check_quality(documents: DataFrame, schema: Config, body: str = "modified_metadata") -> DataFrame:
-    """All three checks, one array column each."""
-    checked = find_nonpermissible(documents, schema, body)
-    checked = find_missing_required(checked, schema, body)
-    return find_regex_violations(checked, schema, body)
+def check_quality(
+    documents: DataFrame, schema: Config, body: str = "modified_metadata", lookup: str | None = None
+) -> DataFrame:
+    """All three checks, one array column each.
+
+    With a schema that is joined, documents are scanned several times: hand in a table that
+    was written, not a plan that computes them.
+    """
+    checked = find_nonpermissible(documents, schema, body, lookup=lookup)
+    checked = find_missing_required(checked, schema, body, lookup=lookup)
+    return find_regex_violations(checked, schema, body, lookup=lookup)
 
 
 def with_group(documents: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docalign.functions.lookup import constant_lookup
-from docalign.operators.config import Config, profiles_of, scoped_lookup
+from docalign.operators.config import Config, is_joined, profiles_of, scoped_lookup
+from docalign.operators.joins import with_scope
+from docalign.operators.membership import schema_table
 from docalign.operators.quality import ISSUE_TYPES, MISSING, REGEX, schema_facets
 from docalign.functions.cells import VALUE
 
@@ -48,26 +50,30 @@ def review_rows(
     return listed.orderBy(*profile, "group_slug", "dataset_id", "field_name") if ordered else listed
 
 
-def choice_lists(issues: DataFrame, schema: Config) -> DataFrame:
+def choice_lists(issues: DataFrame, schema: Config, lookup: str | None = None) -> DataFrame:
     """Allowed values per group, for its fields with issues that have a list.
 
     Fields are numbered from 1 in name order, values from 1 in schema order. The
     window sees distinct fields only, so a group is never larger than a schema.
+    ``lookup`` is "constant" or "join", see ``operators.config``.
     """
-    facets = [r for r in schema_facets(schema) if r["permissible"]]
-    find = scoped_lookup(
-        ((r["profile"], (r["name"],), r["permissible"]) for r in facets), f"array<{VALUE}>", profiles_of(facets)
-    )
     profile = ["profile"] if "profile" in issues.columns else []
-    fields = (
-        issues.select(*profile, "group_slug", "field")
-        .where(find(F.col("field")).isNotNull())
-        .distinct()
-    )
+    fields = issues.select(*profile, "group_slug", "field")
+    if is_joined(schema, lookup):
+        scoped, table = with_scope(fields.distinct(), schema_table(issues, schema))
+        lists = table.where(F.size("permissible") > 0).select("_scope", F.col("name").alias("field"), F.col("permissible").alias("values"))
+        listed = scoped.join(lists, ["_scope", "field"]).drop("_scope")
+    else:
+        facets = [r for r in schema_facets(schema) if r["permissible"]]
+        find = scoped_lookup(
+            ((r["profile"], (r["name"],), r["permissible"]) for r in facets), f"array<{VALUE}>", profiles_of(facets)
+        )
+        limited = fields.where(find(F.col("field")).isNotNull()).distinct()
+        listed = limited.withColumn("values", find(F.col("field")))
     by_group = Window.partitionBy(*profile, "group_slug").orderBy("field")
     return (
-        fields.withColumn("col_no", F.dense_rank().over(by_group))
-        .select(*profile, "group_slug", "field", "col_no", F.posexplode(find(F.col("field"))).alias("pos", "v"))
+        listed.withColumn("col_no", F.dense_rank().over(by_group))
+        .select(*profile, "group_slug", "field", "col_no", F.posexplode("values").alias("pos", "v"))
         .select(
             *profile,
             "group_slug",

@@ -1,8 +1,9 @@
 """Conditional updates: rules with a ``when`` and a ``then`` part.
 
-Conditions are compiled into boolean expressions over the original body. Every
-condition is two-valued, so rules never see each other's updates and a missing
-field never makes a result unknown.
+Conditions look at the original body and are two-valued, so rules never see each
+other's updates and a missing field never makes a result unknown. A list of rules is
+compiled into boolean expressions; a DataFrame of rules, of any size, is joined
+(``rule_index``).
 """
 
 from __future__ import annotations
@@ -18,16 +19,16 @@ from pyspark.sql import functions as F
 from docalign.functions import cells as C
 from docalign.functions.lookup import constant_array
 from docalign.functions.rows import unfold
-from docalign.operators.config import Config, Rows, all_rows
+from docalign.operators.config import Config, Rows, constant_rows, is_joined
+from docalign.operators.rule_index import MUST, SHOULD, attach_fired, items_of
 
-MUST, SHOULD = "__must__", "__should__"
 ASSIGNMENT = "struct<rule_no:int,field:string,kind:string,text:string>"
 
 
 def ordered_rules(rules: Config) -> Rows:
     """Rules in the order they apply, numbered from 1 within each profile."""
     found = sorted(
-        all_rows(rules, "rules"),
+        constant_rows(rules),
         key=lambda r: (r["profile"] or "", r["part"], r["source_file"] or "", r["pos"]),
     )
     numbered: Rows = []
@@ -52,18 +53,12 @@ def compile_condition(when: Any, cells: Column) -> Column:
         raise ValueError(f"a condition has {MUST} and {SHOULD} only, not {sorted(unknown)}")
     parts = []
     if MUST in when:
-        parts.append(reduce(and_, [_item(i, cells) for i in _items(when, MUST)], F.lit(True)))
+        parts.append(reduce(and_, [_item(i, cells) for i in items_of(when, MUST)], F.lit(True)))
     if SHOULD in when:
-        parts.append(reduce(or_, [_item(i, cells) for i in _items(when, SHOULD)], F.lit(False)))
+        parts.append(reduce(or_, [_item(i, cells) for i in items_of(when, SHOULD)], F.lit(False)))
     return reduce(and_, parts, F.lit(True))
 
 
-def _items(when: dict[str, Any], key: str) -> list[Any]:
-    if not isinstance(when[key], list) or not all(isinstance(i, dict) for i in when[key]):
-        raise ValueError(f"{key} must be an array of objects")
-    return when[key]
-
-
 def _item(item: dict[str, Any], cells: Column) -> Column:
     if MUST in item or SHOULD in item:
         return compile_condition(item, cells)
@@ -90,13 +85,28 @@ def apply_rules(
     body: str = "metadata",
     into: str = "modified_metadata",
     log: str = "applied_rules",
+    lookup: str | None = None,
 ) -> DataFrame:
     """Update the body by all rules whose condition holds.
 
     A new field is appended, a known one keeps its place; the last matching rule
     wins. ``log`` gets the fired assignments in order, as
-    ``array<struct<rule_no, field, kind, text>>``.
+    ``array<struct<rule_no, field, kind, text>>``. ``lookup`` is "constant" or "join",
+    see ``operators.config``.
     """
+    if is_joined(rules, lookup):
+        documents, fired = attach_fired(documents, rules, body)
+
+        def made(r: Column) -> Column:
+            return F.transform(
+                r["assigned"],
+                lambda c: F.struct(
+                    r["rule_no"].alias("rule_no"), c["field"].alias("field"), c["kind"].alias("kind"), c["text"].alias("text")
+                ),
+            )
+
+        documents = documents.withColumn(log, F.flatten(F.transform(F.col(fired), made)).cast(f"array<{ASSIGNMENT}>"))
+        return documents.withColumn(into, _updated(F.col(body), F.col(log))).drop(fired)
     compiled = ordered_rules(rules)
     if not compiled:
         return documents.withColumn(into, F.col(body)).withColumn(log, constant_array([], ASSIGNMENT))
@@ -121,8 +131,13 @@ def apply_rules(
     )
 
 
-def fired_rules(documents: DataFrame, rules: Config, body: str = "metadata") -> DataFrame:
+def fired_rules(documents: DataFrame, rules: Config, body: str = "metadata", lookup: str | None = None) -> DataFrame:
     """One row per document and rule that fired: ``rule_no`` and its texts."""
+    if is_joined(rules, lookup):
+        kept = [c for c in documents.columns if c not in (body, "source_file")]
+        documents, fired = attach_fired(documents, rules, body)
+        found = unfold(documents, kept, fired, "_rule")
+        return found.select(*kept, *[f"_rule.{c}" for c in ("rule_no", "source_file", "conditions", "updates")])
     compiled = ordered_rules(rules)
     about = constant_array(
         [

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import sys
 import unicodedata
 
@@ -12,8 +11,10 @@ from pyspark.sql import functions as F
 from docalign.functions import cells as C
 from docalign.functions.lookup import constant_lookup
 from docalign.functions.rows import rows_where, unfold
-from docalign.operators.config import Config, Rows, all_rows, is_joined, profiles_of, scoped_lookup
-from docalign.operators.joins import attach_schema
+from docalign.operators.config import Config, Rows, constant_rows, is_joined, profiles_of, scoped_lookup
+from docalign.operators.joins import attach_matches, attach_schema
+from docalign.operators.listed import printed_value, same_values
+from docalign.operators.membership import schema_table, valid_by_join
 
 # Template field types and the types they become.
 TEMPLATE_TYPES = {
@@ -161,17 +162,19 @@ def conform_to_schema(
     ``operators.config``.
     """
     if is_joined(schema, lookup):
-        documents, followed = attach_schema(documents, schema)
+        documents, attached = attach_schema(documents, schema)
+        followed, added = F.col(attached), [attached]
         default = lambda f: C.cell(f["name"], f["default_value"]["kind"], f["default_value"]["text"])
         fields = F.transform(followed, default)
         names = F.transform(followed, lambda f: f["name"])
         known = lambda field: F.coalesce(F.array_contains(names, field), F.lit(True))
     else:
-        rows = all_rows(schema, "target schema")
+        rows = constant_rows(schema)
         if not rows:
             return documents.withColumn(log, F.col(body)).withColumn(into, C.no_cells())
         fields = _schema_of_row(rows)
         known = _fields_of_row(rows)
+        added = []
     context = F.struct(
         F.col(body).alias("cells"), C.by_name(F.col(body)).alias("by_name"), fields.alias("fields")
     )
@@ -182,7 +185,7 @@ def conform_to_schema(
         )
 
     excluded = F.filter(F.col(body), lambda c: ~F.coalesce(known(c["field"]), F.lit(False)))
-    return documents.withColumn(log, excluded).withColumn(into, C.let(context, conformed)).drop("_schema")
+    return documents.withColumn(log, excluded).withColumn(into, C.let(context, conformed)).drop(*added)
 
 
 def _schema_of_row(rows: Rows) -> Column:
@@ -208,14 +211,17 @@ def _fields_of_row(rows: Rows):
 
 
 def validate_values(
-    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = "valid"
+    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = "valid", lookup: str | None = None
 ) -> DataFrame:
     """One boolean per cell: is the value among the permissible ones?
 
     Fields that are unknown or have no list are valid. Values are compared with
-    their types, so the text "1" is not the number 1.
+    their types, so the text "1" is not the number 1. ``lookup`` is "constant" or
+    "join", see ``operators.config``.
     """
-    rows = all_rows(schema, "target schema")
+    if is_joined(schema, lookup):
+        return valid_by_join(documents, schema, body, into)
+    rows = constant_rows(schema)
     limited, member = permissible_lookups(rows)
 
     def ok(c: Column) -> Column:
@@ -235,10 +241,10 @@ def permissible_lookups(rows: Rows, by_text: bool = False):
     pairs = []
     for r in with_list:
         for value in r["permissible"]:
-            for v in _same(value):
+            for v in same_values(value):
                 pairs.append((r["profile"], (r["name"], v["kind"], v["text"] or ""), True))
             if by_text:
-                pairs.append((r["profile"], (r["name"], "", _printed(value)), True))
+                pairs.append((r["profile"], (r["name"], "", printed_value(value)), True))
     has = scoped_lookup(((r["profile"], (r["name"],), True) for r in with_list), "boolean", profiles)
     on = scoped_lookup(pairs, "boolean", profiles)
     return (
@@ -247,33 +253,22 @@ def permissible_lookups(rows: Rows, by_text: bool = False):
     )
 
 
-def _same(value: dict) -> list[dict]:
-    """All equal values of a stored one (1, 1.0 and true are equal)."""
-    if value["kind"] == "boolean":
-        return C.equal_values(value["text"] == "true")
-    if value["kind"] == "integer":
-        return C.equal_values(int(value["text"]))
-    if value["kind"] == "float":
-        return C.equal_values(float(value["text"]))
-    return [value]
-
-
-def _printed(value: dict) -> str:
-    """``str()`` of a stored value."""
-    if value["kind"] in ("string", "integer", "float"):
-        return value["text"]
-    return str(json.loads(value["text"] or "null"))
-
-
 def attach_schema_facets(
-    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = "facets"
+    documents: DataFrame, schema: Config, body: str = "modified_metadata", into: str = "facets", lookup: str | None = None
 ) -> DataFrame:
     """Per cell whether its field is required, and the field's default.
 
     ``array<struct<field, kind, text, required, default_kind, default_text>>``;
-    an unknown field is not required and has a null default.
+    an unknown field is not required and has a null default. ``lookup`` is "constant"
+    or "join", see ``operators.config``.
     """
-    rows = all_rows(schema, "target schema")
+    if is_joined(schema, lookup):
+        default = F.col("default_value")
+        facets = F.struct("required", default["kind"].alias("default_kind"), default["text"].alias("default_text"))
+        table = schema_table(documents, schema).withColumn("facet", facets)
+        documents, match = attach_matches(documents, table, body, {"name": lambda c: c["field"]}, "facet")
+        return documents.withColumn(into, F.zip_with(F.col(body), F.col(match), _with_facet)).drop(match)
+    rows = constant_rows(schema)
     facet = scoped_lookup(
         (
             (
@@ -291,15 +286,15 @@ def attach_schema_facets(
         profiles_of(rows),
     )
 
-    def one(c: Column) -> Column:
-        found = facet(c["field"])
-        return F.struct(
-            c["field"].alias("field"),
-            c["kind"].alias("kind"),
-            c["text"].alias("text"),
-            F.coalesce(found["required"], F.lit(False)).alias("required"),
-            F.coalesce(found["default_kind"], F.lit("null")).alias("default_kind"),
-            found["default_text"].alias("default_text"),
-        )
+    return documents.withColumn(into, F.transform(F.col(body), lambda c: _with_facet(c, facet(c["field"]))))
 
-    return documents.withColumn(into, F.transform(F.col(body), one))
+
+def _with_facet(c: Column, found: Column) -> Column:
+    return F.struct(
+        c["field"].alias("field"),
+        c["kind"].alias("kind"),
+        c["text"].alias("text"),
+        F.coalesce(found["required"], F.lit(False)).alias("required"),
+        F.coalesce(found["default_kind"], F.lit("null")).alias("default_kind"),
+        found["default_text"].alias("default_text"),
+    )

@@ -10,7 +10,7 @@ from docalign.functions.rows import unfold
 from docalign.operators.config import (
     Config, Rows, constant_rows, distinct_keys, is_joined, joined_table, named_profiles, scoped_lookup,
 )
-from docalign.operators.joins import attach_matches, with_scope
+from docalign.operators.joins import attach_matches, fresh, with_scope
 
 MAP_ROW = f"profile string, field string, legacy_key string, is_list boolean, options array<{C.VALUE}>"
 TARGET = f"struct<is_list:boolean,options:array<{C.VALUE}>>"
@@ -86,9 +86,10 @@ def standardize_values(
     if is_joined(value_map, lookup):
         table = joined_table(documents, value_map, MAP_ROW).withColumn("target", F.struct("is_list", "options"))
         keys = {"field": lambda c: c["field"], "legacy_key": _key}
-        documents, hits = attach_matches(documents, table, body, keys, "target")
+        documents, match = attach_matches(documents, table, body, keys, "target")
+        added = [match]
         matches = F.zip_with(
-            F.col(body), hits, lambda c, h: F.struct(c.alias("cell"), _key(c).alias("old"), h.alias("hit"))
+            F.col(body), F.col(match), lambda c, h: F.struct(c.alias("cell"), _key(c).alias("old"), h.alias("hit"))
         )
     else:
         find = _value_lookup(documents, constant_rows(value_map))
@@ -99,7 +100,9 @@ def standardize_values(
                 k["cell"].alias("cell"), k["old"].alias("old"), find(k["cell"]["field"], k["old"]).alias("hit")
             ),
         )
-    matched = F.col("_matched")
+        added = []
+    [name] = fresh([*documents.columns, into, log, ambiguous_log], "_matched")
+    matched = F.col(name)
     several = lambda m: m["hit"]["is_list"] & (F.size(m["hit"]["options"]) > 1)
     replaced = F.filter(matched, lambda m: m["hit"].isNotNull() & ~several(m))
     open_ones = F.filter(matched, lambda m: m["hit"].isNotNull() & several(m))
@@ -120,7 +123,7 @@ def standardize_values(
         )
 
     return (
-        documents.withColumn("_matched", matches)
+        documents.withColumn(name, matches)
         .withColumn(
             into,
             F.transform(
@@ -129,7 +132,7 @@ def standardize_values(
         )
         .withColumn(log, F.transform(replaced, logged))
         .withColumn(ambiguous_log, F.transform(open_ones, left_open))
-        .drop("_matched", *[c for c in documents.columns if c.startswith("_match_")])
+        .drop(name, *added)
     )
 
 

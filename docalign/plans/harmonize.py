@@ -34,12 +34,12 @@ def harmonize(
 
     What is not given is skipped. The result has ``modified_metadata`` and the
     log columns next to the original ``metadata``. Documents stay in their
-    partitions: there is no exchange, unless a map is joined (``lookup``, see
+    partitions: there is no exchange, unless a table is joined (``lookup``, see
     ``operators.config``).
     """
     result = documents.withColumn("modified_metadata", F.col("metadata"))
     if rules is not None:
-        result = apply_rules(result, rules)
+        result = apply_rules(result, rules, lookup=lookup)
     if field_map is not None:
         result = rename_fields(result, field_map, lookup=lookup)
     if value_map is not None:
