@@ -39,11 +39,11 @@ from docalign.llm.common import Stash, shuffle_partitions
 LONGEST = 4
 #: Bytes of text and words that a task holds at once (one longer text is taken whole).
 SLICE = 2 << 20
-WAITING = 1_000_000
+WAITING = 500_000
 #: Words of text for one partition of the counts.
 PARTITION_WORDS = 1_000_000
 #: Different words that a task holds before it passes their counts on.
-VOCABULARY = 300_000
+VOCABULARY = 150_000
 #: Most frequent words that are sent to every task, 8 bytes each; beyond that many, a bitmap.
 NUMBERED = 4_000_000
 #: The bitmap of frequent words has 2 to this power bits.
