@@ -193,6 +193,29 @@ def event_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def changed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with nested bodies before and after one of six changes, as JSON texts ``old`` and ``new``."""
+    k = F.col("event_id")
+    n = F.get_json_object("props", "$.k")
+    number = lambda more: F.concat((n.cast("bigint") + more).cast("string"))
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    tags, deep = text('["x","y",', n, ',"z"]'), text('{"u":1,"v":[{"w":', n, '},{"w":0}]}')
+
+    def body(props=F.col("props"), tags=tags, deep=deep, tail=',"n":1.50}'):
+        return text('{"props":', props, ',"tags":', tags, ',"deep":', deep, tail)
+
+    case = k % 6
+    new = (
+        F.when(case == 0, body())
+        .when(case == 1, body(props=text('{"k":', number(1), "}")))
+        .when(case == 2, body(tags=text('["x",', n, ',"z"]')))
+        .when(case == 3, body(tags=text('["new","x","y","', n, '","z"]')))
+        .when(case == 4, body(deep=text('{"v":[{"w":', n, '},{"w":', number(5), '}],"q~/":null}')))
+        .otherwise(body(tags=F.lit('{"a":[]}'), tail="}"))
+    )
+    return table(spark, folder, "events").select(k.alias("id"), body().alias("old"), new.alias("new"))
+
+
 def broken_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Event texts of which most are damaged in one of several ways."""
     case = F.col("id") % 10

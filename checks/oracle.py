@@ -445,7 +445,7 @@ def oracle_sql() -> dict[str, str]:
     texts["conform_catalog"] = f"""WITH {PART}
         SELECT k AS id, 0 AS pos, 'size' AS field, CAST(size AS VARCHAR) AS value_json FROM p
         UNION ALL SELECT k, 1, 'brand', CASE WHEN k % 2 = 0 THEN {_js('profile')} ELSE 'null' END FROM p"""
-    texts |= _catalogs()
+    texts |= _catalogs() | _nested()
     # The same maps looked up by join give the same results.
     for name in ("rename_fields_orders", "standardize_values_orders", "unmapped_values", "harmonize_profiles", "conform_orders",
                  "missing_before_conform", "apply_rules_orders", "regex_violations", "nonpermissible"):
@@ -523,3 +523,23 @@ def _catalogs() -> dict[str, str]:
             count(DISTINCT coalesce(np.k, mr.k, rx.k)) AS total_datasets_with_issues
             FROM q LEFT JOIN np USING (k) LEFT JOIN mr USING (k) LEFT JOIN rx USING (k) GROUP BY slug""",
     }
+
+
+def _nested() -> dict[str, str]:
+    e = "e AS (SELECT event_id AS id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id % 6 AS c, props FROM events)"
+    return {
+        "nested_diff": f"""WITH {e} SELECT id, 0 AS seq, 'replace' AS op, '/props/k' AS path, CAST(k + 1 AS VARCHAR) AS value_json FROM e WHERE c = 1
+            UNION ALL SELECT id, 0, 'remove', '/tags/1', NULL FROM e WHERE c = 2
+            UNION ALL SELECT id, 0, 'replace', '/tags/2', '"' || k || '"' FROM e WHERE c = 3
+            UNION ALL SELECT id, 1, 'add', '/tags/0', '"new"' FROM e WHERE c = 3
+            UNION ALL SELECT id, 0, 'replace', '/deep/v/1/w', CAST(k + 5 AS VARCHAR) FROM e WHERE c = 4
+            UNION ALL SELECT id, 1, 'remove', '/deep/u', NULL FROM e WHERE c = 4
+            UNION ALL SELECT id, 2, 'add', '/deep/q~0~1', 'null' FROM e WHERE c = 4
+            UNION ALL SELECT id, 0, 'replace', '/tags', '{{"a":[]}}' FROM e WHERE c = 5
+            UNION ALL SELECT id, 1, 'remove', '/n', NULL FROM e WHERE c = 5""",
+        "nested_patch_applied": f"""WITH {e} SELECT id, '{{"props":{{"k":' || (k + CASE c WHEN 1 THEN 1 ELSE 0 END) || '}},"tags":' ||
+              CASE c WHEN 2 THEN '["x",' || k || ',"z"]' WHEN 3 THEN '["new","x","y","' || k || '","z"]' WHEN 5 THEN '{{"a":[]}}'
+                ELSE '["x","y",' || k || ',"z"]' END || ',"deep":' ||
+              CASE c WHEN 4 THEN '{{"v":[{{"w":' || k || '}},{{"w":' || (k + 5) || '}}],"q~/":null}}' ELSE '{{"u":1,"v":[{{"w":' || k || '}},{{"w":0}}]}}' END ||
+              CASE c WHEN 5 THEN '}}' ELSE ',"n":1.5}}' END AS body FROM e""",
+    }

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as X
-from docalign.functions.cells import json_object, json_value
+from docalign.functions.cells import json_object, json_value, parse_cells
 from docalign.functions.rows import unfold
 from docalign.operators import diff, fields, membership, quality, report, review, rules, schema, values
+from docalign.operators.nested_diff import apply_patch, diff_nested
 from docalign.plans.harmonize import harmonize, log_entries, output_documents, run_summary
 from docalign.sources import config as readers
 from docalign.sources import documents as docs
@@ -246,6 +247,25 @@ def diff_orders(spark, folder):
     )
 
 
+def _changed(spark, folder):
+    texts = X.changed_events(spark, folder)
+    return texts.select("id", parse_cells(F.col("old")).alias("metadata"), parse_cells(F.col("new")).alias("modified_metadata"))
+
+
+def nested_diff(spark, folder):
+    """Operations inside nested values, in the order in which they apply."""
+    return unfold(diff_nested(_changed(spark, folder)), ["id"], "json_patch", "p", "seq").select(
+        "id", "seq", "p.op", "p.path",
+        F.when(F.col("p.op") != "remove", json_value(F.col("p.kind"), F.col("p.text"))).alias("value_json"),
+    )
+
+
+def nested_patch_applied(spark, folder):
+    """The old body after the patch, which is the new body."""
+    patched = apply_patch(diff_nested(_changed(spark, folder)).drop("modified_metadata"))
+    return patched.select("id", json_object(F.col("modified_metadata")).alias("body"))
+
+
 def output_json_orders(spark, folder):
     """Whole output documents as JSON text, with diff and log."""
     done = output_documents(_harmonized(spark, folder))
@@ -457,7 +477,7 @@ ALL = [
     standardize_values_orders_joined, unmapped_values_joined, conform_orders_joined, missing_before_conform_joined,
     conform_catalog, rules_catalog, fired_rules_catalog, rule_coverage_catalog, apply_rules_orders_joined,
     nonpermissible_catalog, validate_catalog, facets_catalog, patterns_catalog, choice_lists_catalog, group_summary_catalog,
-    regex_violations_joined, nonpermissible_joined,
+    regex_violations_joined, nonpermissible_joined, nested_diff, nested_patch_applied,
 ]
 
 

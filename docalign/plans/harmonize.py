@@ -9,6 +9,7 @@ from docalign.functions import cells as C
 from docalign.operators.config import Config
 from docalign.operators.diff import diff_documents
 from docalign.operators.fields import rename_fields
+from docalign.operators.nested_diff import diff_nested
 from docalign.operators.rules import apply_rules
 from docalign.operators.schema import conform_to_schema
 from docalign.operators.values import standardize_values
@@ -63,10 +64,13 @@ def log_entries() -> Column:
     return sizes[0] + sizes[1] + sizes[2] + sizes[3]
 
 
-def output_documents(harmonized: DataFrame) -> DataFrame:
-    """Add the diff and fold the log columns, ready for ``write_documents``."""
+def output_documents(harmonized: DataFrame, nested: bool = False) -> DataFrame:
+    """Add the diff and fold the log columns, ready for ``write_documents``.
+
+    With ``nested`` the diff goes down into nested values, see ``operators.nested_diff``.
+    """
     logged = harmonized.withColumn("processing_log", processing_log()).drop(*LOG_TYPES)
-    return diff_documents(logged)
+    return diff_nested(logged) if nested else diff_documents(logged)
 
 
 def run_summary(outcomes: DataFrame) -> DataFrame:
