@@ -26,6 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docalign.llm.common import as_bytes
@@ -305,3 +306,66 @@ def bpe_digests(
         )
 
     return needed.mapInArrow(encode_batches, schema)
+
+
+#: Bytes of chunks and ids that one Python worker remembers for ``encode_ids``, and of text in one step.
+REMEMBERED_BYTES = 48 << 20
+STEP = 1 << 20
+
+
+class _WorkerMemo:
+    """The encoder of a Python worker and the packed ids of chunks met before, shared by its tasks."""
+
+    def __init__(self, vocabulary: str) -> None:
+        self.bpe = Bpe(vocabulary)
+        self.known: dict[str, bytes] = {}
+        self.size = 0
+
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts, one after the other, and where each begins."""
+        split = [self.bpe.pieces(t.decode("utf-8", "replace")) for t in texts]
+        if self.size > REMEMBERED_BYTES:
+            self.known.clear()
+            self.size = 0
+        new = list(set().union(*split).difference(self.known))
+        for chunk, found in zip(new, self.bpe.learn(new), strict=True):
+            packed = np.array(found, dtype=np.int32).tobytes()
+            self.known[chunk] = packed
+            # Two objects and a slot of the table cost about 150 bytes beside what they hold.
+            self.size += 150 + 4 * len(chunk) + len(packed)
+        joined = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
+        starts = np.cumsum([0, *[len(j) // 4 for j in joined]], dtype=np.int32)
+        return np.frombuffer(b"".join(joined), dtype=np.int32), starts
+
+
+@lru_cache(maxsize=1)
+def _worker_memo(vocabulary: str) -> _WorkerMemo:
+    return _WorkerMemo(vocabulary)
+
+
+def encode_ids(documents: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """For each row its ``keep`` columns, ``n_tokens`` and ``ids``, the token ids of the whole text.
+
+    A worker holds texts of about ``STEP`` bytes at a time (one longer text is taken whole) and
+    at most ``REMEMBERED_BYTES`` of chunks met before, whatever the batches hold.
+    """
+    needed = documents.select(*keep, F.col(text).alias("_text"))
+    schema = T.StructType(
+        [*needed.schema.fields[:-1], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    )
+
+    def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _worker_memo(vocabulary)
+        for batch in batches:
+            held, size, start = [], 0, 0
+            for at, t in enumerate(as_bytes(batch.column(len(keep)))):
+                held.append(t)
+                size += len(t)
+                if size >= STEP or at + 1 == batch.num_rows:
+                    ids, starts = memo.ids(held)
+                    made = [pa.array(np.diff(starts).astype(np.int64)), pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))]
+                    columns = [batch.column(i).slice(start, len(held)) for i in range(len(keep))]
+                    yield pa.RecordBatch.from_arrays([*columns, *made], names=[*keep, "n_tokens", "ids"])
+                    held, size, start = [], 0, at + 1
+
+    return needed.mapInArrow(encode_batches, schema)

@@ -183,7 +183,12 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
 
 def keep_one_of_near_copies(documents: DataFrame) -> DataFrame:
     """One document of each group that five-word shingles of Jaccard similarity 0.8 or more
-    link: the one with the smallest id (of equal rows, one)."""
+    link: the one with the smallest id (of equal rows, one).
+
+    Defined cases: null and empty texts are one group; a text of fewer than five words is one
+    shingle; null ids come last; equal rows count once; texts of any length are taken whole;
+    other columns come through, whatever their names; an empty table gives none.
+    """
     stash = Stash(documents.sparkSession, "near-copies")
     keyed = documents.select("doc_id", "text", row_key("doc_id", *_others(documents), "text").alias("row"))
     rows = stash.save(shingle_sets(keyed, ("doc_id", "row")), "sets")
@@ -195,12 +200,15 @@ def _first_of_each(documents: DataFrame, rows: DataFrame, stash: Stash, linked:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     found = simhash_components(rows.select(place.alias("doc_id"), "fp"), stash, linked)
     kept = found.select(F.col("component_id.doc_id").alias("kept_id"), F.col("component_id.row").alias("kept_row"))
+    # Own columns go in a struct, so that none meets a name used here.
     columns = documents.columns
-    own = documents.withColumn("_row_of_document", row_key("doc_id", *_others(documents), "text"))
-    one = own.join(
-        kept.distinct(), (F.col("_row_of_document") == F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi"
+    names = [f"c{i}" for i in range(len(columns))]
+    own = documents.select(
+        F.col("doc_id").alias("own_id"), row_key("doc_id", *_others(documents), "text").alias("own_row"),
+        F.struct(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)]).alias("own"),
     )
-    return one.dropDuplicates(["doc_id", "_row_of_document"]).select(*columns)
+    one = own.join(kept.distinct(), (F.col("own_row") == F.col("kept_row")) & F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return one.dropDuplicates(["own_id", "own_row"]).select(*[F.col(f"own.{n}").alias(c) for c, n in zip(columns, names, strict=True)])
 
 
 def _others(documents: DataFrame) -> list[str]:
