@@ -81,3 +81,31 @@ def test_stage_on_given_documents(spark):
     kept = {r.doc_id for r in dict(P.STAGES)["simhash"](spark, docs, "").select("doc_id").collect()}
     want = firsts([(r.doc_id, r.text or "") for r in docs.collect()])
     assert kept == want and not kept & {145, 177}  # copies of 6 and 1 at a similarity of 0.83
+
+
+def test_lists_that_stay_apart_are_compared_whole(spark, table, monkeypatch):
+    """A large group around the limit of similarity: most pairs are candidates, some are links."""
+    from docalign.llm import near_copies
+
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(80)]
+    docs = []
+    for i in range(160):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3])):
+            copy[rng.randrange(80)] = f"x{rng.randrange(40)}"
+        docs.append((i, " ".join(copy)))
+    monkeypatch.setattr(near_copies, "BLOCK_NODES", 16)
+    kept = sorted(r.doc_id for r in simhash.keep_one_of_near_copies(table(*docs)).collect())
+    assert kept == sorted(firsts(docs))
+
+
+def test_links_between_blocks_are_all_pairs():
+    from docalign.llm import near_copies
+
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("ab") + str(i) for i in range(12)) for _ in range(60)] + ["", "one"]
+    nodes = [{"fp": i, "root": i, "found": near_copies.shingles(t.encode()).tobytes()} for i, t in enumerate(texts)]
+    found = set(near_copies.block_links(nodes, nodes))
+    wanted = {(i, j) for i, j in combinations(range(len(texts)), 2) if jaccard(texts[i], texts[j]) >= 0.8}
+    assert found == wanted
