@@ -17,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a small file on all cores: a number of partitions that is given is not put together again."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 # --- order documents ------------------------------------------------------------
 
 FIELD_MAP = field_map(
@@ -110,7 +115,7 @@ SCHEMA = target_schema(
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their customer's region and segment, as documents."""
     wide = (
-        table(spark, folder, "orders").repartition("o_orderkey")
+        spread(table(spark, folder, "orders"), "o_orderkey")
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -185,7 +190,7 @@ def event_texts(spark: SparkSession, folder: str) -> DataFrame:
     head = F.concat(
         F.lit('{"uuid":"'), F.col("event_id").cast("string"), F.lit('","group_name":"'), F.col("event_type")
     )
-    return table(spark, folder, "events").repartition("event_id").select(
+    return spread(table(spark, folder, "events"), "event_id").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("stem"),
         F.concat(F.lit("e"), F.col("event_id").cast("string"), F.lit(".json")).alias("source_file"),
@@ -446,6 +451,6 @@ def template_files(spark: SparkSession, folder: str) -> DataFrame:
     content = F.concat(
         F.lit('{"name":"t","children":['), first, F.lit(',{"type":"text-field"},"junk",{"name":"last"}]}')
     )
-    return table(spark, folder, "customer").repartition("c_custkey").select(
+    return spread(table(spark, folder, "customer"), "c_custkey").select(
         F.concat(F.lit("template-"), key).alias("profile"), content.alias("content")
     )

@@ -450,6 +450,7 @@ def oracle_sql() -> dict[str, str]:
     for name in ("rename_fields_orders", "standardize_values_orders", "unmapped_values", "harmonize_profiles", "conform_orders",
                  "missing_before_conform", "apply_rules_orders", "regex_violations", "nonpermissible"):
         texts[f"{name}_joined"] = texts[name]
+    texts["quality_run"], texts["quality_run_review"] = texts["group_summary"], texts["review_pattern"]
     return texts
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from docalign.operators.nested_diff import apply_patch, diff_nested
 from docalign.plans.harmonize import harmonize, log_entries, output_documents, run_summary
 from docalign.sources import config as readers
 from docalign.sources import documents as docs
+from docalign.sources.quality import write_quality_run
 
 
 def _cells(rows: DataFrame, body: str = "modified_metadata", *more: str) -> DataFrame:
@@ -428,6 +432,22 @@ def group_summary(spark, folder):
     return quality.group_summary(_checked(spark, folder))
 
 
+def _quality_run(spark, folder):
+    """All review tables as one run in the shared folder (a local one only where none is set)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="runs-")
+    return write_quality_run(_checked(spark, folder), X.SCHEMA, f"{shared}/quality-{uuid.uuid4().hex}", X.BASE_URL, X.HINTS)
+
+
+def quality_run(spark, folder):
+    """The group summary of a written run, read back."""
+    return _quality_run(spark, folder).table("summary")
+
+
+def quality_run_review(spark, folder):
+    """A review list of a written run, read back."""
+    return _quality_run(spark, folder).table("review_regex_violations")
+
+
 def issue_rows(spark, folder):
     return quality.issue_rows(_checked(spark, folder))
 
@@ -478,6 +498,7 @@ ALL = [
     conform_catalog, rules_catalog, fired_rules_catalog, rule_coverage_catalog, apply_rules_orders_joined,
     nonpermissible_catalog, validate_catalog, facets_catalog, patterns_catalog, choice_lists_catalog, group_summary_catalog,
     regex_violations_joined, nonpermissible_joined, nested_diff, nested_patch_applied,
+    quality_run, quality_run_review,
 ]
 
 
