@@ -451,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
                  "missing_before_conform", "apply_rules_orders", "regex_violations", "nonpermissible"):
         texts[f"{name}_joined"] = texts[name]
     texts["quality_run"], texts["quality_run_review"] = texts["group_summary"], texts["review_pattern"]
+    texts["stream_totals"], texts["stream_dead_letters"] = texts["run_totals"], texts["dead_letters"]
     return texts
 
 

@@ -17,6 +17,7 @@ from docalign.plans.harmonize import harmonize, log_entries, output_documents, r
 from docalign.sources import config as readers
 from docalign.sources import documents as docs
 from docalign.sources.quality import write_quality_run
+from docalign.streaming import outcomes
 
 
 def _cells(rows: DataFrame, body: str = "modified_metadata", *more: str) -> DataFrame:
@@ -313,6 +314,28 @@ def run_totals(spark, folder):
     return run_summary(docs.file_outcomes(done, log_entries()))
 
 
+def _streamed(spark, folder):
+    """The damaged texts through a stream of several batches; the path of what it wrote."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
+    root = f"{shared}/stream-{uuid.uuid4().hex}"
+    texts = X.broken_texts(spark, folder)
+    texts.write.parquet(f"{root}/in")
+    arriving = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+    done = harmonize(docs.parse_documents(arriving), field_map=X.EVENT_FIELD_MAP, value_map=X.EVENT_VALUE_MAP)
+    outcomes.write_outcome_stream(output_documents(done), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
+
+
+def stream_totals(spark, folder):
+    """Counts of all batches of a stream: the same as of one run over the table."""
+    return outcomes.read_totals(spark, _streamed(spark, folder))
+
+
+def stream_dead_letters(spark, folder):
+    failed = outcomes.read_dead_letters(spark, _streamed(spark, folder))
+    return failed.groupBy("status", "error").agg(F.count("*").alias("n"))
+
+
 # --- config catalogs --------------------------------------------------------------------
 
 
@@ -498,7 +521,7 @@ ALL = [
     conform_catalog, rules_catalog, fired_rules_catalog, rule_coverage_catalog, apply_rules_orders_joined,
     nonpermissible_catalog, validate_catalog, facets_catalog, patterns_catalog, choice_lists_catalog, group_summary_catalog,
     regex_violations_joined, nonpermissible_joined, nested_diff, nested_patch_applied,
-    quality_run, quality_run_review,
+    quality_run, quality_run_review, stream_totals, stream_dead_letters,
 ]
 
 

@@ -86,8 +86,8 @@ def split_valid(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, file_outcomes(documents.where(F.col("error").isNotNull()))
 
 
-def file_outcomes(documents: DataFrame, log_entries: Column | None = None) -> DataFrame:
-    """One row per input: what became of it."""
+def file_outcomes(documents: DataFrame, log_entries: Column | None = None, *more: Column) -> DataFrame:
+    """One row per input: what became of it, with ``more`` columns behind."""
     ok = F.col("error").isNull()
     entries = F.lit(0) if log_entries is None else F.coalesce(log_entries, F.lit(0))
     return documents.select(
@@ -97,6 +97,7 @@ def file_outcomes(documents: DataFrame, log_entries: Column | None = None) -> Da
         F.col("error"),
         F.when(ok, F.lit(1)).otherwise(F.lit(0)).alias("objects_processed"),
         F.when(ok, entries).otherwise(F.lit(0)).alias("log_entries"),
+        *more,
     )
 
 
