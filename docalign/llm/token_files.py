@@ -103,30 +103,34 @@ def encoded_blocks(documents: DataFrame, tokenizer: str, end_id: int, partitions
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = worker_tokens(tokenizer)
-        end = np.array([end_id], dtype=tokens.kind).tobytes()
         block, shard, doc_ids, parts, size = 0, None, [], [], 0
 
         def made() -> pa.RecordBatch:
-            lengths = np.array([len(p) // tokens.width for p in parts], dtype="<u4").tobytes()
+            lengths = np.array([len(p) for p in parts], dtype="<u4").tobytes()
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard], pa.int32()), pa.array([block], pa.int32()),
-                    pa.array([doc_ids], pa.list_(pa.int64())), pa.array([lengths]), pa.array([b"".join(parts)]),
+                    pa.array([doc_ids], pa.list_(pa.int64())), pa.array([lengths]),
+                    pa.array([np.concatenate(parts).tobytes()]),
                 ],
                 names=["shard", "block", "doc_ids", "lengths", "ids"],
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = tokens.encode([t.decode("utf-8", "replace") for t in as_bytes(part.column(2))])
-                for number, doc_id, found in zip(
-                    part.column(0).to_pylist(), part.column(1).to_pylist(), ids, strict=True
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                ids, lengths = tokens.encode_column(part.column(2))
+                stops = np.cumsum(lengths + 1)
+                # Each document with the end id behind it.
+                ids = np.insert(ids, np.cumsum(lengths), np.array(end_id, dtype=tokens.kind))
+                for number, doc_id, a, b in zip(
+                    part.column(0).to_pylist(), part.column(1).to_pylist(),
+                    (stops - lengths - 1).tolist(), stops.tolist(), strict=True,
                 ):
                     shard = number
                     doc_ids.append(doc_id)
-                    parts.append(found + end)
-                    size += len(parts[-1]) // tokens.width
+                    parts.append(ids[a:b])
+                    size += b - a
                     if size >= FILE_IDS:
                         yield made()
                         block, doc_ids, parts, size = block + 1, [], [], 0
