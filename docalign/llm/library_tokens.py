@@ -131,7 +131,7 @@ class LibraryTokens:
             self._remember(alone, made, np.cumsum(sizes) - sizes)
             found = list(map(known.__getitem__, pieces))
         packed = np.array(found, dtype=np.int64)
-        return packed >> 24, packed & (1 << 24) - 1
+        return packed >> 31, packed & (1 << 31) - 1
 
     def _remember(self, pieces: list[bytes], made: list[np.ndarray], begins: np.ndarray) -> None:
         """Keep the ids of pieces, which begin at ``begins`` of all that was made."""
@@ -140,7 +140,7 @@ class LibraryTokens:
             self.store = np.concatenate([self.store, np.zeros_like(self.store)])
         if size:
             self.store[self.used : self.used + size] = np.concatenate(made)
-        packed = self.used + begins << 24 | np.diff(np.append(begins, size))
+        packed = self.used + begins << 31 | np.diff(np.append(begins, size))
         self.known.update(zip(pieces, packed.tolist(), strict=True))
         self.used += size
 

@@ -141,6 +141,25 @@ def test_pieces_are_safe_cuts(vocabulary):
     assert [np.frombuffer(b, tokens.kind).tolist() for b in tokens.encode(texts)] == want
 
 
+def test_columns_are_encoded_as_by_the_library(vocabulary, monkeypatch):
+    """Joined pieces, a memory that starts anew, nulls, zero bytes, and pieces that end in white space."""
+    import pyarrow as pa
+
+    from docalign.llm import library_tokens
+
+    monkeypatch.setattr(library_tokens, "JOINED", 3)
+    monkeypatch.setattr(library_tokens, "REMEMBERED", 20)
+    tokens = LibraryTokens(vocabulary("byte_bpe_50k.json"))
+    rng, pool = random.Random(9), ["word", "été", "日本", "x\n", "\u3000", "\x00", "a\tb", "", "12,", "z" * 300]
+    texts = [None, "", " ", "end\n", *[" ".join(rng.choice(pool) for _ in range(rng.randint(0, 9))) for _ in range(300)]]
+    for at in range(0, len(texts), 50):
+        part = texts[at : at + 50]
+        ids, lengths = tokens.encode_column(pa.array(part, pa.string()))
+        want = [e.ids for e in tokens.tokenizer.encode_batch([t or "" for t in part], add_special_tokens=False)]
+        assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert [len(x) for x in tokens.encode_column(pa.array([], pa.string()))] == [0, 0]
+
+
 # --- suffix order ---------------------------------------------------------------------------
 
 
