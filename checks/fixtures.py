@@ -454,3 +454,45 @@ def template_files(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "customer"), "c_custkey").select(
         F.concat(F.lit("template-"), key).alias("profile"), content.alias("content")
     )
+
+
+# --- catalogs with broken files --------------------------------------------------------
+
+
+def broken_catalogs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Config files by kind, one profile per supplier; some are broken, also a shared one."""
+    k, key = F.col("s_suppkey"), F.col("s_suppkey").cast("string")
+    case = k % 8
+
+    def files(kind: str, content, only=F.lit(True)) -> DataFrame:
+        return table(spark, folder, "supplier").where(only).select(
+            F.concat(F.lit("s-"), key).alias("profile"),
+            F.concat(F.lit(f"{kind}/"), F.lpad(key, 9, "0"), F.lit(".json")).alias("source_file"),
+            F.lit("score").alias("stem"), content.alias("content"),
+        )
+
+    rule = F.concat(F.lit('[{"when":{"__must__":[{"k":1}]},"then":{"zone":"z'), key, F.lit('"}}]'))
+    rules_text = (
+        F.when(case == 0, F.lit('{"when":{},"then":{}}'))
+        .when(case == 1, F.lit('[{"when":{},"then":{}},{"when":{"__must__":[{"__should__":[{"__must__":7}]}]},"then":{}}]'))
+        .when(case == 2, F.lit('[{"when":{}}]'))
+        .otherwise(rule)
+    )
+    map_text = F.when(case == 3, F.lit("[1]")).when(case == 4, F.lit('{"k":"score"')).otherwise(F.lit('{"k":"score"}'))
+    shared = spark.range(1).select(
+        F.lit(None).cast("string").alias("profile"), F.lit("value-map/all.json").alias("source_file"),
+        F.lit("score").alias("stem"), F.lit('"x"').alias("content"),
+    )
+    return {
+        "rules": files("rules", rules_text),
+        "field map": files("field-map", map_text),
+        "value map": files("value-map", F.lit('{"1":"one","2":["two"]}'), k % 3 != 0).unionByName(shared),
+        "schema": files("schema", F.when(case == 5, F.lit("{}")).otherwise(F.lit('[{"name":"score"},{"name":"zone"}]')), case > 4),
+    }
+
+
+def supplier_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Events, some damaged, by the profile of a supplier; some profiles have no config, some events no profile."""
+    n = F.col("id") % 41
+    profile = F.when(n != 40, F.concat(F.lit("s-"), n.cast("string")))
+    return broken_texts(spark, folder).withColumn("profile", profile)

@@ -445,7 +445,9 @@ def oracle_sql() -> dict[str, str]:
     texts["conform_catalog"] = f"""WITH {PART}
         SELECT k AS id, 0 AS pos, 'size' AS field, CAST(size AS VARCHAR) AS value_json FROM p
         UNION ALL SELECT k, 1, 'brand', CASE WHEN k % 2 = 0 THEN {_js('profile')} ELSE 'null' END FROM p"""
-    texts |= _catalogs() | _nested()
+    texts |= _catalogs() | _nested() | _broken_config()
+    distinct = "SELECT NULL::VARCHAR AS profile, field, value FROM (SELECT DISTINCT field, value FROM merged)"
+    texts["nonstandard_json"] = _value_lists(f"{BASE}, {ISSUES}, {MERGED}", distinct, "")
     # The same maps looked up by join give the same results.
     for name in ("rename_fields_orders", "standardize_values_orders", "unmapped_values", "harmonize_profiles", "conform_orders",
                  "missing_before_conform", "apply_rules_orders", "regex_violations", "nonpermissible"):
@@ -491,7 +493,10 @@ def _catalogs() -> dict[str, str]:
         UNION ALL SELECT k, 'size', size::VARCHAR FROM q
         WHERE CASE k % 5 WHEN 0 THEN size >= 40 WHEN 1 THEN size >= 10 WHEN 4 THEN size < 10 ELSE FALSE END)"""
     missing = "mr AS (SELECT k, 'brand' AS field, 'MISSING_FIELD' AS value FROM q WHERE brand IS NULL)"
+    listed = """SELECT DISTINCT p_brand AS profile, field, value FROM (FROM np UNION ALL FROM rx UNION ALL FROM mr) JOIN q USING (k)
+        UNION ALL SELECT p_brand, 'id', rid FROM q"""
     return {
+        "nonstandard_json_catalog": _value_lists(f"{q}, {wrong}, {broken}, {missing}", listed, "profile, "),
         "rules_catalog": f"""WITH {q}, {body} SELECT k AS id, row_number() OVER (PARTITION BY k ORDER BY rank) - 1 AS pos,
             field, v AS value_json FROM cells""",
         "fired_rules_catalog": f"""WITH {q} SELECT k AS id, no AS rule_no, 'rules/' || k || '.json' AS source_file, {updates} AS updates
@@ -527,6 +532,45 @@ def _catalogs() -> dict[str, str]:
     }
 
 
+def _value_lists(tables: str, rows: str, head: str) -> str:
+    """Distinct values as fragments of JSON documents."""
+    return f"""WITH {tables}, v AS ({rows}), n AS (SELECT *, count(*) OVER (PARTITION BY profile, field) AS c,
+          row_number() OVER (PARTITION BY profile, field ORDER BY value) AS f,
+          count(*) OVER (PARTITION BY profile) AS total, row_number() OVER (PARTITION BY profile ORDER BY field, value) AS ordinal FROM v)
+        SELECT {head}ordinal, CASE ordinal WHEN 1 THEN '{{' ELSE ',' END || CASE f WHEN 1 THEN {_js('field')} || ':' ELSE '' END ||
+          CASE WHEN f = 1 AND c > 1 THEN '[' ELSE '' END || {_js('value')} || CASE WHEN f = c AND c > 1 THEN ']' ELSE '' END ||
+          CASE ordinal WHEN total THEN '}}' ELSE '' END AS text FROM n"""
+
+
+def _broken_config() -> dict[str, str]:
+    """Suppliers whose config files are broken, and the events of their profiles."""
+    name = lambda kind: f"'{kind}/' || lpad(k::VARCHAR, 9, '0') || '.json'"
+    found = f"""s AS (SELECT s_suppkey AS k, s_suppkey % 8 AS c FROM supplier), bad AS (
+        SELECT k, 'rules' AS kind, {name('rules')} AS source_file, CASE c WHEN 0 THEN 'a rule file must be a JSON array'
+            WHEN 1 THEN 'rule 2: __must__ must be an array of objects'
+            ELSE 'rule 1 must be an object with ''when'' and ''then''' END AS problem FROM s WHERE c < 3
+        UNION ALL SELECT k, 'field map', {name('field-map')},
+            CASE c WHEN 3 THEN 'a field map must be a JSON object' ELSE 'invalid JSON' END FROM s WHERE c IN (3, 4)
+        UNION ALL SELECT k, 'schema', {name('schema')}, 'a target schema must be a JSON array' FROM s WHERE c = 5
+        UNION ALL SELECT NULL, 'value map', 'value-map/all.json', 'a value map must be a JSON object')"""
+    damage = """CASE WHEN id % 10 IN (0, 6) THEN 'invalid JSON' WHEN id % 10 = 1 THEN 'input must contain a JSON object'
+        WHEN id % 10 IN (2, 4) THEN 'metadata is not a JSON object' END"""
+    told = f"""t AS (SELECT id, n, CASE WHEN id % 41 < 40 THEN id % 41 END AS p, {damage} AS damage FROM e),
+        d AS (SELECT t.*, coalesce(damage, 'config: ' || own.kind || ' ' || own.source_file || ': ' || own.problem,
+            CASE WHEN s.k IS NULL OR s.k % 3 = 0 THEN 'config: value map value-map/all.json: a value map must be a JSON object' END) AS error
+          FROM t LEFT JOIN bad own ON own.k = p LEFT JOIN s ON s.k = p)"""
+    return {
+        "config_errors": f"WITH {found} SELECT kind, 's-' || k AS profile, source_file, problem FROM bad",
+        "config_dead_letters": f"""WITH {EVENTS}, {found}, {told} SELECT 's-' || p AS profile,
+            CASE WHEN error IS NULL THEN 'success' ELSE 'failed' END AS status, error, count(*) AS n FROM d GROUP BY p, error""",
+        # The schema has "score" and "zone"; a damaged body that is still good has no "k".
+        "config_survivors": f"""WITH {EVENTS}, {found}, {told}, g AS (SELECT id, p, n, id % 10 IN (3, 5) AS none FROM d WHERE error IS NULL)
+            SELECT id, 's-' || p AS profile, 0 AS pos, 'score' AS field, CASE WHEN none THEN 'null' WHEN n = 1 THEN '"one"'
+              WHEN n = 2 THEN '"two"' ELSE n::VARCHAR END AS value_json FROM g
+            UNION ALL SELECT id, 's-' || p, 1, 'zone', CASE WHEN NOT none AND n = 1 THEN '"z' || p || '"' ELSE 'null' END FROM g""",
+    }
+
+
 def _nested() -> dict[str, str]:
     e = "e AS (SELECT event_id AS id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id % 6 AS c, props FROM events)"
     return {

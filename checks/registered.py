@@ -16,7 +16,9 @@ from docalign.operators.nested_diff import apply_patch, diff_nested
 from docalign.plans.harmonize import harmonize, log_entries, output_documents, run_summary
 from docalign.sources import config as readers
 from docalign.sources import documents as docs
+from docalign.sources import quarantine as apart
 from docalign.sources.quality import write_quality_run
+from docalign.sources.value_lists import write_value_lists
 from docalign.streaming import outcomes
 
 
@@ -336,6 +338,43 @@ def stream_dead_letters(spark, folder):
     return failed.groupBy("status", "error").agg(F.count("*").alias("n"))
 
 
+# --- broken config files ------------------------------------------------------------------
+
+
+def config_errors(spark, folder):
+    return apart.config_errors(X.broken_catalogs(spark, folder))
+
+
+def _set_apart(spark, folder):
+    """Parsed documents, with those of broken config files as errors, and the catalogs that are left."""
+    files = X.broken_catalogs(spark, folder)
+    left = {kind: apart.whole_files(rows, kind) for kind, rows in files.items()}
+    catalogs = {
+        apart.RULES: readers.rule_entries(left[apart.RULES]),
+        apart.FIELD_MAP: fields.merge_field_maps(readers.field_map_entries(left[apart.FIELD_MAP])),
+        apart.VALUE_MAP: values.normalize_value_map(readers.value_map_entries(left[apart.VALUE_MAP])),
+        apart.SCHEMA: readers.schema_entries(left[apart.SCHEMA]),
+    }
+    parsed = docs.parse_documents(X.supplier_texts(spark, folder))
+    return apart.quarantine(parsed, apart.config_errors(files), catalogs), catalogs
+
+
+def config_dead_letters(spark, folder):
+    """Documents of broken config files fail with that file as the reason, no others do."""
+    parsed, _ = _set_apart(spark, folder)
+    told = docs.file_outcomes(parsed, None, F.col("profile"))
+    return told.groupBy("profile", "status", "error").agg(F.count("*").alias("n"))
+
+
+def config_survivors(spark, folder):
+    """What the whole config files make of the documents that are left."""
+    parsed, catalogs = _set_apart(spark, folder)
+    good, _ = docs.split_valid(parsed)
+    field_map = catalogs[apart.FIELD_MAP].select("profile", "legacy", "target")
+    done = harmonize(good, catalogs[apart.RULES], field_map, catalogs[apart.VALUE_MAP], catalogs[apart.SCHEMA])
+    return _cells(done, "modified_metadata", "profile")
+
+
 # --- config catalogs --------------------------------------------------------------------
 
 
@@ -471,6 +510,26 @@ def quality_run_review(spark, folder):
     return _quality_run(spark, folder).table("review_regex_violations")
 
 
+def _value_lists(spark, found):
+    """Values as JSON fragments of a written run, in the shared folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="runs-")
+    return write_value_lists(found, f"{shared}/values-{uuid.uuid4().hex}").table("fragments")
+
+
+def nonstandard_json(spark, folder):
+    """The non-standard values as one JSON document, value by value."""
+    return _value_lists(spark, quality.nonstandard_values(_checked(spark, folder))).select("ordinal", "text")
+
+
+def nonstandard_json_catalog(spark, folder):
+    """A document for each brand of parts; one field has most of the values."""
+    parts = X.part_documents(spark, folder)
+    checked = quality.check_quality(parts, _part_schemas(spark, folder), body="metadata")
+    found = quality.issue_rows(checked).select(F.col("group_name").alias("profile"), "field", "value")
+    ids = parts.select(F.col("group_name").alias("profile"), F.lit("id").alias("field"), F.col("record_id").alias("value"))
+    return _value_lists(spark, found.unionByName(ids)).select("profile", "ordinal", "text")
+
+
 def issue_rows(spark, folder):
     return quality.issue_rows(_checked(spark, folder))
 
@@ -521,7 +580,8 @@ ALL = [
     conform_catalog, rules_catalog, fired_rules_catalog, rule_coverage_catalog, apply_rules_orders_joined,
     nonpermissible_catalog, validate_catalog, facets_catalog, patterns_catalog, choice_lists_catalog, group_summary_catalog,
     regex_violations_joined, nonpermissible_joined, nested_diff, nested_patch_applied,
-    quality_run, quality_run_review, stream_totals, stream_dead_letters,
+    quality_run, quality_run_review, stream_totals, stream_dead_letters, nonstandard_json, nonstandard_json_catalog,
+    config_errors, config_dead_letters, config_survivors,
 ]
 
 

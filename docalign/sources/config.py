@@ -48,31 +48,12 @@ def crosswalk_cells(files: DataFrame) -> DataFrame:
     name in one older schema version. Rows may be ragged; numbering starts at 1
     and leaves out the header. Cells are kept as they are, blanks included.
     """
-    # A quote opens a quoted field at the start of a field only; what stands behind the
-    # closing quote belongs to the field as it is. Blank lines are no rows.
-    field = r'(?:"(?:[^"]++|"")*+(?:"[^,\r\n]*+|\z)|[^",\r\n][^,\r\n]*+|)'
-    line = rf"{field}(?:,{field})*+"
-    item = rf",({field})"
-    quoted = r'(?s)\A"((?:[^"]++|"")*+)"?(.*)\z'
-
-    def unquoted(text: Column) -> Column:
-        inner = F.replace(F.regexp_extract(text, quoted, 1), F.lit('""'), F.lit('"'))
-        return F.when(text.startswith('"'), F.concat(inner, F.regexp_extract(text, quoted, 2))).otherwise(text)
-
-    lines = F.filter(F.regexp_extract_all("content", F.lit(line), F.lit(0)), lambda text: text != "")
-    rows = F.transform(
-        lines,
-        lambda text: F.transform(
-            F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(item), F.lit(1)), unquoted
-        ),
-    )
-    shaped = files.select("profile", "source_file", rows.alias("rows"))
-    enough = (F.size("rows") >= 2) & (F.size(F.get("rows", F.lit(0))) >= 2)
+    shaped = files.select("profile", "source_file", _crosswalk_lines().alias("rows"))
     data = F.slice("rows", F.lit(2), F.size("rows"))
     checked = unfold(
         shaped,
         ["profile", "source_file", F.get("rows", F.lit(0)).alias("header")],
-        _checked(data, enough, "a crosswalk needs a header, a row and two columns"),
+        _checked(data, _enough(F.col("rows")), "a crosswalk needs a header, a row and two columns"),
         "row",
         "row_pos",
     )
@@ -95,6 +76,37 @@ def crosswalk_cells(files: DataFrame) -> DataFrame:
     )
 
 
+def crosswalk_is_whole() -> Column:
+    """Whether the content has a header of two columns and a row."""
+    return F.coalesce(_enough(_crosswalk_lines()), F.lit(False))
+
+
+def _enough(rows: Column) -> Column:
+    return C.let(rows, lambda r: (F.size(r) >= 2) & (F.size(F.get(r, F.lit(0))) >= 2))
+
+
+def _crosswalk_lines() -> Column:
+    """The content as an array of rows, each an array of fields."""
+    # A quote opens a quoted field at the start of a field only; what stands behind the
+    # closing quote belongs to the field as it is. Blank lines are no rows.
+    field = r'(?:"(?:[^"]++|"")*+(?:"[^,\r\n]*+|\z)|[^",\r\n][^,\r\n]*+|)'
+    line = rf"{field}(?:,{field})*+"
+    item = rf",({field})"
+    quoted = r'(?s)\A"((?:[^"]++|"")*+)"?(.*)\z'
+
+    def unquoted(text: Column) -> Column:
+        inner = F.replace(F.regexp_extract(text, quoted, 1), F.lit('""'), F.lit('"'))
+        return F.when(text.startswith('"'), F.concat(inner, F.regexp_extract(text, quoted, 2))).otherwise(text)
+
+    lines = F.filter(F.regexp_extract_all("content", F.lit(line), F.lit(0)), lambda text: text != "")
+    return F.transform(
+        lines,
+        lambda text: F.transform(
+            F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(item), F.lit(1)), unquoted
+        ),
+    )
+
+
 # --- field maps ---------------------------------------------------------------
 
 
