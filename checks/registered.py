@@ -355,8 +355,15 @@ def _set_apart(spark, folder):
         apart.VALUE_MAP: values.normalize_value_map(readers.value_map_entries(left[apart.VALUE_MAP])),
         apart.SCHEMA: readers.schema_entries(left[apart.SCHEMA]),
     }
+    # What several joins read is computed once: catalogs here, documents below.
+    at = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='apart-')}/apart-{uuid.uuid4().hex}"
+    for kind, rows in catalogs.items():
+        rows.write.parquet(f"{at}/{kind.replace(' ', '-')}")
+        catalogs[kind] = spark.read.schema(rows.schema).parquet(f"{at}/{kind.replace(' ', '-')}")
     parsed = docs.parse_documents(X.supplier_texts(spark, folder))
-    return apart.quarantine(parsed, apart.config_errors(files), catalogs), catalogs
+    told = apart.quarantine(parsed, apart.config_errors(files), catalogs)
+    told.write.parquet(f"{at}/documents")
+    return spark.read.schema(told.schema).parquet(f"{at}/documents"), catalogs
 
 
 def config_dead_letters(spark, folder):
