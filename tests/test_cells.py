@@ -73,3 +73,16 @@ def test_equal_values_follow_number_equality():
     assert texts("1") == {("string", "1")}
     assert texts(False) == {("boolean", "false"), ("integer", "0"), ("float", "0.0"), ("float", "-0.0")}
     assert texts(2.5) == {("float", "2.5")}
+
+
+def test_objects_are_printed_whole(spark, bodies):
+    """Texts that look like the engine's own printing, escapes, nested values, and no piece-by-piece rendering of plain ones."""
+    odd = [
+        {"field": '{"field":"a","kind":"string","text":"b"}', 'k","kind':  'x","text":"y', "{": "{", '{"': '{"', "$1": "\\$2 \\"},
+        {"kind": "null", "text": None, "n": 1, "m": -2.5, "t": True, "e": [], "o": {}, "deep": {"a": ["b", {"c": 1}]}},
+        {"long": '\\"' * 20000, "é\n": " \u007f\u0001/"}, {"a": [1, 2]}, {},
+    ]
+    got = [r.t for r in bodies(*odd).orderBy("id").select(C.json_object(F.col("metadata")).alias("t")).collect()]
+    assert got == [json.dumps(b, ensure_ascii=False, separators=(",", ":")) for b in odd]
+    plain = spark.createDataFrame([([],)], f"c {C.CELLS}").select(C.json_object(F.col("c")).alias("t"))
+    assert plain.first().t == "{}" and "regexp_replace" in plain._jdf.queryExecution().analyzed().toString()
