@@ -45,15 +45,15 @@ def _issue(field: Column, value: Column) -> Column:
     return F.struct(field.alias("field"), value.alias("value"))
 
 
-def _printed(body: str) -> Column:
-    """The cells of a body, each with the text Python prints for its value."""
+def _printed(cells: Column) -> Column:
+    """Cells, each with the text Python prints for its value: costly, so only for those that are asked for."""
     def one(c: Column) -> Column:
         printed = C.python_text(c["kind"], c["text"])
         return F.struct(
             c["field"].alias("field"), c["kind"].alias("kind"), c["text"].alias("text"), printed.alias("printed")
         )
 
-    return F.transform(F.col(body), one)
+    return F.transform(cells, one)
 
 
 def find_nonpermissible(
@@ -68,14 +68,10 @@ def find_nonpermissible(
     limited, member = permissible_lookups(schema_facets(schema), by_text=True)
 
     def wrong(c: Column) -> Column:
-        return (
-            (c["kind"] != "null")
-            & limited(c["field"])
-            & ~member(c["field"], F.lit(""), c["printed"])
-            & ~member(c["field"], c["kind"], c["text"])
-        )
+        return ~member(c["field"], F.lit(""), c["printed"]) & ~member(c["field"], c["kind"], c["text"])
 
-    found = F.transform(F.filter(_printed(body), wrong), lambda c: _issue(c["field"], c["printed"]))
+    asked = F.filter(F.col(body), lambda c: (c["kind"] != "null") & limited(c["field"]))
+    found = F.transform(F.filter(_printed(asked), wrong), lambda c: _issue(c["field"], c["printed"]))
     return documents.withColumn(into, found)
 
 
@@ -149,9 +145,10 @@ def find_regex_violations(
         case = reduce(
             lambda w, i: w.when(which == i, ~matches_whole(text, patterns[i])), range(1, len(patterns)), first
         )
-        return F.coalesce((c["kind"] != "null") & case & ~is_blank(text), F.lit(False))
+        return F.coalesce(case & ~is_blank(text), F.lit(False))
 
-    found = F.transform(F.filter(_printed(body), broken), lambda c: _issue(c["field"], c["printed"]))
+    asked = F.filter(F.col(body), lambda c: (c["kind"] != "null") & find(c["field"]).isNotNull())
+    found = F.transform(F.filter(_printed(asked), broken), lambda c: _issue(c["field"], c["printed"]))
     return documents.withColumn(into, found)
 
 
