@@ -1,22 +1,24 @@
 """Near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Bits of a SimHash do not find them: at a similarity of 0.8 two fingerprints are some ten
-bits of 64 apart, with a deviation of three, and eight positional bytes then share none.
-Candidates therefore come from MinHash bands, and every candidate is verified on the sets.
+Candidates come from SimHash fingerprints first (``simhash.fingerprint_pairs``). They do not
+find all: at a similarity of 0.8 two fingerprints are some ten bits of 64 apart, with a
+deviation of three, and eight positional bytes then share none. What fingerprints leave
+apart comes from MinHash bands. Every candidate is verified on the sets.
 
 1. Equal sets are one node, so a large group of copies is one node.
-2. A list holds the nodes that agree in the ``IN_BAND`` minima of one of ``BANDS`` bands.
+2. Pairs of nodes whose fingerprints are linked are verified.
+3. A list holds the nodes that agree in the ``IN_BAND`` minima of one of ``BANDS`` bands.
    Two nodes of similarity s miss all lists with a probability of about (1 - s^8)^64: 8e-6
-   at 0.8, 2e-9 at 0.85.
-3. Each member of a list is verified against two members of it; where the list is not one
-   component after that, also against the ``PIVOTS`` members with most links. What lists
-   still leave apart is compared whole, block by block, so no candidate goes unverified but
-   those already linked.
+   at 0.8, 2e-9 at 0.85. Lists that fingerprints have made one component are done.
+4. Each member of the others is verified against two members of its list; where the list is
+   not one component after that, also against the ``PIVOTS`` members with most links. What
+   lists still leave apart is compared whole, block by block, so no candidate goes unverified
+   but those already linked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -68,25 +70,26 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return LEAST[1] * both >= LEAST[0] * (len(a) + len(b) - both)
 
 
-def shingle_sets(documents: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """For each row its ``keep`` columns, ``fp``, a hash of the set, and ``keys``, its lists."""
+def shingle_sets(documents: DataFrame, keep: tuple[str, ...], fingerprint: Callable[[bytes], int]) -> DataFrame:
+    """For each row its ``keep`` columns, ``fp``, a hash of the set, ``bits``, the text's fingerprint, and ``keys``, its lists."""
     needed = documents.select(*keep, "text")
-    schema = T.StructType(
-        [needed.schema[c] for c in keep] + [T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
-    )
+    made = [("fp", T.LongType()), ("bits", T.LongType()), ("keys", T.ArrayType(T.LongType()))]
+    schema = T.StructType([needed.schema[c] for c in keep] + [T.StructField(*m) for m in made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            fps, keys = [], []
+            fps, bits, keys = [], [], []
             for text in as_bytes(batch.column(len(keep))):
                 found = shingles(text)
                 fps.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
+                bits.append(fingerprint(text))
                 keys.append(bands(found).view(np.int64) if len(found) else np.empty(0, np.int64))
             columns = [batch.column(i) for i in range(len(keep))]
-            made = [pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*columns, *made], names=[*keep, "fp", "keys"])
+            made = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (fps, bits)]
+            made.append(pa.array(keys, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([*columns, *made], names=[*keep, "fp", "bits", "keys"])
 
     return needed.mapInArrow(run, schema)
 
@@ -111,22 +114,27 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
-def near_links(rows: DataFrame, documents: DataFrame, stash: Stash) -> DataFrame:
+def near_links(rows: DataFrame, documents: DataFrame, pairs: DataFrame, stash: Stash) -> DataFrame:
     """Edges ``u, v`` that connect all near copies among the nodes of ``rows(row, fp, keys)``;
-    ``documents(row, text)`` has their texts."""
+    ``documents(row, text)`` has their texts. ``pairs(u, v)`` are candidates that come first."""
     listed = rows.select("fp", F.explode("keys").alias("key"))
     # Copies of one set stand in a list once: a list counts if its smallest and largest node differ.
     lists = listed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high").select("key")
     listed = stash.save(listed.join(lists, "key").distinct(), "lists")
-    own = rows.join(listed.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("row").alias("row"))
+    pairs = stash.save(pairs, "pairs")
+    needed = listed.select("fp").unionByName(pairs.select(F.explode(F.array("u", "v")).alias("fp"))).distinct()
+    own = rows.join(needed, "fp", "left_semi").groupBy("fp").agg(F.min("row").alias("row"))
     texts = stash.save(documents.join(own, "row").dropDuplicates(["fp"]).select("fp", "text"), "texts")
+    linked = stash.save(verified(pairs, texts), "edges")
+    listed = stash.save(_apart(listed, linked, stash).select("key", "fp"), "lists")
 
     # The order differs from list to list, so a node meets others in each.
     order = F.xxhash64("fp", "key")
     chosen = listed.groupBy("key").agg(F.array(F.min_by("fp", order), F.max_by("fp", order)).alias("chosen"))
     first = listed.join(chosen, "key").select("fp", F.explode("chosen").alias("other")).where("fp <> other")
-    first = stash.save(first.select(*_ordered("fp", "other")).distinct(), "first")
-    edges = stash.save(verified(first, texts), "edges")
+    first = first.select(*_ordered("fp", "other")).distinct().join(pairs, ["u", "v"], "left_anti")
+    first = stash.save(first, "first")
+    edges = linked.unionByName(stash.save(verified(first, texts), "edges"))
 
     # A text that copies were made from is near to more of them than they are to each other: members
     # of lists that are still apart meet the nodes of their list with most links so far.
@@ -140,7 +148,8 @@ def near_links(rows: DataFrame, documents: DataFrame, stash: Stash) -> DataFrame
     best = F.slice(F.sort_array(F.flatten(F.collect_list("some")), asc=False), 1, PIVOTS)
     pivots = pivots.groupBy("key").agg(best.alias("best")).select("key", F.explode("best").alias("p"))
     second = rest.join(pivots, "key").where("p.root <> root").select(*_ordered("fp", "p.fp")).distinct()
-    second = stash.save(second.join(first, ["u", "v"], "left_anti"), "second")
+    second = second.join(first.unionByName(pairs), ["u", "v"], "left_anti")
+    second = stash.save(second, "second")
     edges = edges.unionByName(stash.save(verified(second, texts), "edges"))
 
     return edges.unionByName(stash.save(_all_in_blocks(_apart(listed, edges, stash), texts, stash), "edges"))

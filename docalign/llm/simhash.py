@@ -181,9 +181,29 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     return _first_of_each(documents, rows, stash)
 
 
+def fingerprint_pairs(rows: DataFrame, stash: Stash) -> DataFrame:
+    """Pairs ``u < v`` of nodes of ``rows(fp, bits)`` whose fingerprints ``bits`` are equal or linked.
+
+    A fingerprint stands for its smallest node, which meets the others of the same bits and
+    the smallest nodes of two linked fingerprints, so pairs grow with nodes, not with links.
+    """
+    classes = stash.save(rows.groupBy("bits").agg(F.min("fp").alias("least")), "bits")
+    found = stash.save(links(classes.select(F.col("bits").alias("fp")), stash), "links")
+    both = found.unionByName(found.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    order = F.xxhash64("u", "v")
+    some = both.groupBy("u").agg(F.array(F.min_by("v", order), F.max_by("v", order)).alias("some"))
+    some = some.select(F.col("u").alias("bits"), F.explode("some").alias("other"))
+    ends = classes.select(F.col("bits").alias("other"), F.col("least").alias("b"))
+    across = some.join(classes, "bits").join(ends, "other").select(F.col("least").alias("a"), "b")
+    inside = rows.select("bits", "fp").distinct().join(classes, "bits").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    pairs = across.unionByName(inside).where("a <> b")
+    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+
+
 def keep_one_of_near_copies(documents: DataFrame) -> DataFrame:
     """One document of each group that five-word shingles of Jaccard similarity 0.8 or more
-    link: the one with the smallest id (of equal rows, one).
+    link: the one with the smallest id (of equal rows, one). Fingerprints of two bits'
+    distance give the first candidates, bands those that they miss.
 
     Defined cases: null and empty texts are one group; a text of fewer than five words is one
     shingle; null ids come last; equal rows count once; texts of any length are taken whole;
@@ -191,8 +211,9 @@ def keep_one_of_near_copies(documents: DataFrame) -> DataFrame:
     """
     stash = Stash(documents.sparkSession, "near-copies")
     keyed = documents.select("doc_id", "text", row_key("doc_id", *_others(documents), "text").alias("row"))
-    rows = stash.save(shingle_sets(keyed, ("doc_id", "row")), "sets")
-    return _first_of_each(documents, rows, stash, near_links(rows, keyed.select("row", "text"), stash))
+    rows = stash.save(shingle_sets(keyed, ("doc_id", "row"), fingerprint), "sets")
+    linked = near_links(rows, keyed.select("row", "text"), fingerprint_pairs(rows, stash), stash)
+    return _first_of_each(documents, rows, stash, linked)
 
 
 def _first_of_each(documents: DataFrame, rows: DataFrame, stash: Stash, linked: DataFrame | None = None) -> DataFrame:

@@ -109,3 +109,35 @@ def test_links_between_blocks_are_all_pairs():
     found = set(near_copies.block_links(nodes, nodes))
     wanted = {(i, j) for i, j in combinations(range(len(texts)), 2) if jaccard(texts[i], texts[j]) >= 0.8}
     assert found == wanted
+
+
+def test_fingerprints_link_near_copies_without_bands(table):
+    """Texts of linked or equal bits are candidates, and those that are near copies are linked."""
+    from pyspark.sql import functions as F
+
+    from docalign.llm import near_copies
+    from docalign.llm.common import Stash
+
+    docs = near_copies_of_few_bits()
+    keyed = table(*docs).withColumn("row", F.col("doc_id"))
+    stash = Stash(keyed.sparkSession, "test")
+    rows = stash.save(near_copies.shingle_sets(keyed, ("row",), simhash.fingerprint))
+    pairs = stash.save(simhash.fingerprint_pairs(rows, stash))
+    bits = {r.fp: r.bits % 2**64 for r in rows.collect()}
+    met = [(r.u, r.v) for r in pairs.collect()]
+    assert met and all((bits[u] ^ bits[v]).bit_count() <= 2 for u, v in met)
+    without = rows.withColumn("keys", F.array().cast("array<long>"))
+    links = near_copies.near_links(without, keyed.select("row", "text"), pairs, stash).collect()
+    text = {r.fp: docs[r.row][1] for r in rows.collect()}
+    assert {(r.u, r.v) for r in links} == {(u, v) for u, v in met if jaccard(text[u], text[v]) >= 0.8}
+    assert 0 < len(links) < len(met)
+
+
+def near_copies_of_few_bits():
+    rng = random.Random(23)
+    docs = []
+    for _ in range(6):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        docs += [" ".join(base), " ".join([*base, "x"]), " ".join(["y", *base])]
+    # The same bits from three words, but no near copies by five: one shingle of three.
+    return list(enumerate([*docs, "one two three " * 30, "one two three one two"]))
