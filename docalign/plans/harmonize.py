@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,23 +32,22 @@ def harmonize(
     value_map: Config | None = None,
     schema: Config | None = None,
     lookup: str | None = None,
+    between: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Update, rename, standardize and conform, in this order.
 
     What is not given is skipped. The result has ``modified_metadata`` and the
     log columns next to the original ``metadata``. Documents stay in their
     partitions: there is no exchange, unless a table is joined (``lookup``, see
-    ``operators.config``).
+    ``operators.config``). A joined step reads its documents twice, once for their cells, so
+    in a chain of n steps the first plan is computed 2^n times. ``between`` gets the rows
+    before each step and returns what the step reads, such as a table that was written.
     """
     result = documents.withColumn("modified_metadata", F.col("metadata"))
-    if rules is not None:
-        result = apply_rules(result, rules, lookup=lookup)
-    if field_map is not None:
-        result = rename_fields(result, field_map, lookup=lookup)
-    if value_map is not None:
-        result = standardize_values(result, value_map, lookup=lookup)
-    if schema is not None:
-        result = conform_to_schema(result, schema, lookup=lookup)
+    steps = ((apply_rules, rules), (rename_fields, field_map), (standardize_values, value_map), (conform_to_schema, schema))
+    for step, config in steps:
+        if config is not None:
+            result = step(between(result) if between else result, config, lookup=lookup)
     for name, log_type in LOG_TYPES.items():
         if name not in result.columns:
             result = result.withColumn(name, F.array().cast(log_type))
