@@ -8,7 +8,8 @@ vectors in one list, so neither side is ever whole in one task.
    the k-th best of them is a safe cutoff: the result is at least as good.
 2. The cutoff goes to all cells of the query. A vector that reaches it reaches an equal
    share of it in at least one list, so each list gives the vectors with at least that.
-3. The whole scores of these vectors are resolved exactly, and the best are kept.
+3. The whole scores of these vectors are resolved exactly where the vectors lie, in the same
+   cell, so only pairs that reach the cutoff leave it; the best of them are kept.
 
 Equal vectors are one candidate, with the smallest of their ids, so a third of all rows
 may hold the same vector.
@@ -68,6 +69,14 @@ def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.clip(exact, -LONG - 1, LONG) if exact.size else np.zeros(exact.shape)
 
 
+def _pair_scores(qv: np.ndarray, cv: np.ndarray) -> np.ndarray:
+    """Whole scores of pairs of rows, exactly; beyond long they are its limits."""
+    if np.abs(cv).max(initial=0).astype(float) * np.abs(qv).max(initial=0).astype(float) * cv.shape[1] < 2**62:
+        return np.einsum("ij,ij->i", cv, qv)
+    exact = (cv.astype(object) * qv.astype(object)).sum(axis=1)
+    return np.array([max(-LONG - 1, min(LONG, s)) for s in exact], dtype=np.int64)
+
+
 def _blocks(frame: DataFrame, block: Column, *columns: str) -> DataFrame:
     """One row per block: its rows in order of ``key``, as arrays."""
     made = frame.groupBy(block.alias("block")).agg(
@@ -158,9 +167,27 @@ def top_k(
         found = np.argpartition(-score, n - 1, axis=1)[:, :n]
         return np.repeat(np.arange(len(score)), n), found.ravel()
 
-    def enough(score: np.ndarray, cell: dict) -> tuple[np.ndarray, np.ndarray]:
-        share = cell["cutoffs"].values.to_numpy(zero_copy_only=False) / len(lists)
-        return np.nonzero(score >= share[:, None])
+    def reaching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of a cell that have at least a share of the cutoff in one list, and all of it as a whole."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cell = {n: batch.column(n)[i] for n in batch.schema.names}
+                q_keys, c_keys = (cell[n].values.to_numpy() for n in ("group_keys", "chunk_keys"))
+                qv, cv = (_matrix(cell[n].values, width) for n in ("group_v", "chunk_v"))
+                cutoff = cell["cutoffs"].values.to_numpy(zero_copy_only=False)
+                enough = np.zeros((len(qv), len(cv)), dtype=bool)
+                for part in lists:
+                    at = slice(part, None, len(lists))
+                    enough |= _products(qv[:, at], cv[:, at]) >= (cutoff / len(lists))[:, None]
+                q, c = np.nonzero(enough)
+                for at in range(0, len(q), 1 << 14):
+                    some_q, some_c = q[at : at + (1 << 14)], c[at : at + (1 << 14)]
+                    score = _pair_scores(qv[some_q], cv[some_c])
+                    kept = score >= cutoff[some_q]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(q_keys[some_q[kept]]), pa.array(c_keys[some_c[kept]]), pa.array(score[kept])],
+                        names=["q", "c", "score"],
+                    )
 
     def resolved(pairs: DataFrame) -> DataFrame:
         """Whole scores of distinct pairs: both vectors are looked up by key."""
@@ -175,13 +202,8 @@ def top_k(
                 part = batch.slice(at, 4096)
                 cv = _matrix(part.column("cv"), width)
                 qv = _matrix(part.column("qv"), width)
-                if np.abs(cv).max(initial=0).astype(float) * np.abs(qv).max(initial=0).astype(float) * width < 2**62:
-                    score = np.einsum("ij,ij->i", cv, qv)
-                else:
-                    exact = (cv.astype(object) * qv.astype(object)).sum(axis=1)
-                    score = np.array([max(-LONG - 1, min(LONG, s)) for s in exact], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("q"), part.column("c"), pa.array(score)], names=["q", "c", "score"]
+                    [part.column("q"), part.column("c"), pa.array(_pair_scores(qv, cv))], names=["q", "c", "score"]
                 )
 
     group_parts = parts(groups, "group")
@@ -196,21 +218,21 @@ def top_k(
     ranked = known.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"))))
     cutoff = ranked.where(F.col("n") == k + 1).select(F.col("q").alias("key"), F.col("score").alias("cutoff"))
 
-    # Phase 2: each cell gives what reaches its share of the cutoff. Too few vectors: all are taken.
+    # Phases 2 and 3: each cell gives what reaches its share of the cutoff in a list, and the cutoff
+    # as a whole. Too few vectors: all are taken.
     bound = F.col("cutoff").cast("double")
     bound = F.when(F.abs(bound) < 2.0**52, bound).otherwise(bound - F.abs(bound) * 1e-15)
     cut = queries.join(cutoff, "key", "left").withColumn("cutoff", F.coalesce(bound, F.lit(float("-inf"))))
-    cut = parts(_blocks(cut, group, "v", "cutoff"), "group").join(
-        _blocks(cut, group, "cutoff").select(F.col("block").alias("group"), F.col("cutoff").alias("cutoffs")), "group"
+    left = _blocks(cut, group, "v", "cutoff").select(
+        F.col("block").alias("group"), F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"),
+        F.col("keys").alias("group_keys"), F.col("v").alias("group_v"), F.col("cutoff").alias("cutoffs"),
+    )
+    right = chunks.select(
+        F.col("block").alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))).alias("group"),
+        F.col("keys").alias("chunk_keys"), F.col("v").alias("chunk_v"),
     )
-    sufficient = cells(cut, "group_keys", "group_v", "cutoffs").mapInArrow(per_cell(enough), pair_schema)
-
-    # Phase 3: vectors that every list has given are known; the rest is looked up.
-    sums = sufficient.groupBy("q", "c").agg(F.count("*").alias("n"), F.sum("score").alias("sum"))
-    sums = stash.save(sums, "sufficient")
-    exact_sum = (F.col("n") == len(lists)) & (F.abs("sum") < float(2**52))
-    whole = sums.where(exact_sum).select("q", "c", F.col("sum").cast("long").alias("score"))
-    scores = whole.unionByName(resolved(sums.where(~exact_sum).select("q", "c")))
+    scores = left.join(right, ["group", "chunk"]).mapInArrow(reaching, "q long, c long, score long")
+    scores = stash.save(scores, "sufficient")
     top = scores.withColumn("n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "c")))
     top = top.where(F.col("n") <= k + 1)
     candidates = top.join(classes.select(F.col("key").alias("c"), "ids"), "c").select(

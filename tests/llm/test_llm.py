@@ -97,6 +97,25 @@ def test_top_k_is_exact(spark, scale):
         assert sorted(map(tuple, got.collect())) == want
 
 
+def test_top_k_cells_give_what_reaches_the_cutoff(spark, monkeypatch):
+    """Pairs that reach a share of the cutoff in one list only do not leave their cell."""
+    saved = {}
+
+    class Kept(topk.Stash):
+        def save(self, frame, name="t"):
+            saved[name] = super().save(frame, name)
+            return saved[name]
+
+    monkeypatch.setattr(topk, "Stash", Kept)
+    rng = random.Random(31)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, F.col("vec_id") % 20 == 0, 3, blocks=topk.Blocks(queries=8, vectors=64))
+    assert got.count() == 60
+    # Of 20 queries: three, the query itself, and ties.
+    assert 80 <= saved["sufficient"].count() <= 100
+
+
 def test_top_k_of_few_and_none(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [2.0, 1.0]), (2, [])], "vec_id long, embedding array<double>")
     got = topk.top_k(frame, F.col("vec_id") == 0, 20).collect()
