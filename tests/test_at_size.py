@@ -44,3 +44,32 @@ def test_catalogs_of_parts_are_not_broadcast(spark, tmp_path):
     for key in ("profile", "_scope"):
         assert f"BroadcastHashJoin [{key}" not in _plan(found)
     assert found.count() > 0
+
+
+def test_a_head_that_needs_kinds_parses_its_raw_texts_once(spark):
+    """They were parsed again for the kinds."""
+    text = spark.range(1).select(F.lit('{"uuid":"1","n":12345678901234567890123,"m":{"a": 1},"metadata":{"b": 1}}').alias("t"))
+    head = text.select(C.parse_head(F.col("t"), "metadata").alias("h"))
+    assert head._jdf.queryExecution().analyzed().toString().lower().count("from_json(") == 2
+    assert [tuple(c) for c in head.first().h] == [
+        ("uuid", "string", "1"), ("n", "integer", "12345678901234567890123"), ("m", "object", '{"a":1}'), ("metadata", "object", '{"b":1}'),
+    ]
+
+
+def _events(spark, folder, n):
+    spark.range(n).select(
+        F.col("id").alias("event_id"), F.lit("view").alias("event_type"), F.lit('{"k": 1}').alias("props")
+    ).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    spark.range(16).select(F.col("id").alias("s_suppkey"), F.lit(1).alias("s_nationkey")).write.parquet(f"{folder}/supplier.parquet")
+    return str(folder)
+
+
+def test_documents_that_are_only_counted_are_not_written(spark, tmp_path):
+    folder = _events(spark, tmp_path, 410)
+    found = R.config_dead_letters(spark, folder)
+    assert any("events.parquet" in f for f in found.inputFiles())
+    rows = {(r.profile, r.status, r.error): r.n for r in found.collect()}
+    assert sum(rows.values()) == 410
+    # Its field map is broken (and the shared value map, which its own one stands in for).
+    assert rows["s-4", "failed", "config: field map field-map/000000004.json: invalid JSON"] == 5
+    assert rows[None, "failed", "config: value map value-map/all.json: a value map must be a JSON object"] == 5
