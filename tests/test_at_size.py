@@ -64,6 +64,17 @@ def _events(spark, folder, n):
     return str(folder)
 
 
+def test_batches_of_a_stream_keep_all_cores_busy(spark, tmp_path, monkeypatch):
+    """Batches were of four files, whatever the number of files and cores."""
+    folder = _events(spark, tmp_path, 800)
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(X, "ROWS_A_TASK", 800 // (4 * cores))
+    written = R._streamed(spark, folder)
+    runs = [r.files for r in R.outcomes.read_runs(spark, written).collect()]
+    assert 1 < len(runs) <= 3 and sum(runs) == 800
+    assert R._files_a_batch(spark, cores) == 4
+
+
 def test_documents_that_are_only_counted_are_not_written(spark, tmp_path):
     folder = _events(spark, tmp_path, 410)
     found = R.config_dead_letters(spark, folder)
