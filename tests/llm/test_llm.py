@@ -123,6 +123,52 @@ def test_top_k_of_few_and_none(spark):
     assert topk.top_k(frame.where("false"), F.lit(True), 3).count() == 0
 
 
+def test_top_k_broadcasts_nothing(spark, monkeypatch):
+    """Blocks and chunks are copied for many cells: where small files made one side a broadcast, the driver held all copies."""
+    plans, rng = [], random.Random(7)
+
+    class Seen(topk.Stash):
+        def save(self, frame, name="t"):
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+            return super().save(frame, name)
+
+    monkeypatch.setattr(topk, "Stash", Seen)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, F.col("vec_id") % 20 == 0, 3, blocks=topk.Blocks(queries=8, vectors=64))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert not [p for p in plans if "Broadcast" in p or "CartesianProduct" in p]
+
+
+@pytest.mark.parametrize("scale", [1, 1e5])
+def test_top_k_of_many_tiles(spark, scale):
+    """Several bands of query blocks and spans of chunks, many equal scores, components of two and four bytes."""
+    rng = random.Random(8)
+    rows = [(i, [round(rng.gauss(0, 1)) / 64 * scale for _ in range(5)]) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, F.col("vec_id") % 20 == 0, 3, blocks=topk.Blocks(queries=8, vectors=128, held=1))
+    assert sorted(map(tuple, got.collect())) == plain_top(rows, 3, lambda q: q % 20 == 0)
+
+
+def test_top_k_leaders_are_those_of_all_scores():
+    rng = np.random.default_rng(9)
+    for most in (4, 10**6):
+        score = rng.integers(-most, most, (7, 400))
+        best, near = topk.Leaders(np.full(7, -np.inf), 5), topk.Leaders(np.full(7, -np.inf), 5)
+        for at in range(0, 400, 100):
+            part = score[:, at : at + 100]
+            best.add(*[x.ravel() for x in (np.indices(part.shape)[0], np.indices(part.shape)[1] + at, part)])
+            row, c = np.nonzero(topk._leading(part.astype(np.float32), near.floor, 5))
+            near.add(row, c + at, part[row, c])
+        best.settle()
+        near.settle()
+        want = np.lexsort((np.indices(score.shape)[1], -score))[:, :5]
+        for row in range(7):
+            order = np.lexsort((best.key, -best.score, best.row))
+            assert best.key[order][best.row[order] == row].tolist() == want[row].tolist()
+        assert best.floor.tolist() == near.floor.tolist() == np.sort(score)[:, -5].tolist()
+
+
 # --- token files --------------------------------------------------------------------------
 
 
